@@ -1,0 +1,49 @@
+"""Joins whose small side is measured before it is broadcast.
+
+Nothing here assumes that a lookup side is small.  ``size_of`` measures it with
+one aggregate; up to the limit it is broadcast, beyond it the join shuffles on
+its keys with the hot keys of the large side spread over salts.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_BYTES = 64 * 1024 * 1024
+SALTS = 16
+
+
+def size_of(df: DataFrame) -> int:
+    """Bytes of the rows as text: an upper-side measure of what a broadcast would ship."""
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    return int(df.select(F.sum(width).alias("bytes")).first()["bytes"] or 0)
+
+
+def fits(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    return size_of(df) <= limit
+
+
+def lookup_join(
+    large: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    *,
+    limit: int = BROADCAST_BYTES,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join on equal columns; ``how`` is inner or left (the large side is kept)."""
+    keys = list(on)
+    if fits(small, limit):
+        return large.join(F.broadcast(small), keys, how)
+    others = [F.col(f"`{c}`") for c in large.columns if c not in keys]
+    spread = F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int") if others else F.lit(0)
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    return (
+        large.withColumn("_salt", spread)
+        .join(small.withColumn("_salt", copies), [*keys, "_salt"], how)
+        .drop("_salt")
+    )
