@@ -7,7 +7,9 @@ them use primitive hash sets.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clausewise import rules
@@ -26,20 +28,18 @@ def cleaned(c: Column) -> Column:
 
 def grams(clean_text: Column, n: int = 2) -> Column:
     """Distinct n-grams of an already cleaned text; a text up to n long is its own gram."""
-    text = v.clean(clean_text)
     # One pass with a look-ahead: substring() would walk from the start each time.
-    every = F.regexp_extract_all(text, F.lit(f"(?=(.{{{n}}}))"), F.lit(1))
+    every = F.regexp_extract_all(clean_text, F.lit(f"(?=(.{{{n}}}))"), F.lit(1))
     return (
-        F.when(text == "", F.array().cast("array<string>"))
-        .when(F.length(text) <= n, F.array(text))
+        F.when(clean_text.isin("", *rules.EMPTY_WORDS), F.array().cast("array<string>"))
+        .when(F.length(clean_text) <= n, F.array(clean_text))
         .otherwise(F.array_distinct(every))
     )
 
 
 def terms(c: Column) -> Column:
     """Distinct runs of two or more word characters of the lowered raw text."""
-    found = F.regexp_extract_all(F.lower(v.clean(c)), F.lit(WORD_RUN), F.lit(0))
-    return F.array_distinct(found)
+    return F.array_distinct(F.regexp_extract_all(F.lower(v.clean(c)), F.lit(WORD_RUN), F.lit(0)))
 
 
 def gram_codes(gram_list: Column) -> Column:
@@ -51,15 +51,36 @@ def gram_codes(gram_list: Column) -> Column:
     )
 
 
-def tokens(c: Column, n: int = 2) -> Column:
-    """Struct (clean, grams, terms) that ``similarity`` compares."""
-    clean_text = cleaned(c)
-    gram_list = grams(clean_text, n)
-    return F.struct(
-        clean_text.alias("clean"),
-        (gram_codes(gram_list) if n == 2 else gram_list).alias("grams"),
-        terms(c).alias("terms"),
-    )
+def with_tokens(df: DataFrame, texts: Mapping[str, Column], n: int = 2) -> DataFrame:
+    """Add a struct (clean, grams, terms) per text, as ``similarity`` compares them.
+
+    Done in steps, so that every text is cleaned once however often the later
+    steps refer to it.
+    """
+    df = df.withColumns({f"_{name}_low": F.lower(v.clean(c)) for name, c in texts.items()})
+    short = {
+        f"_{name}_clean": F.regexp_replace(
+            F.regexp_replace(F.col(f"_{name}_low"), DOTTED_NUMBER, ""), NOT_WORD, ""
+        )
+        for name in texts
+    }
+    df = df.withColumns(short)
+
+    def codes(name: str) -> Column:
+        found = grams(F.col(f"_{name}_clean"), n)
+        return gram_codes(found) if n == 2 else found
+
+    out = {
+        name: F.struct(
+            F.col(f"_{name}_clean").alias("clean"),
+            codes(name).alias("grams"),
+            F.array_distinct(
+                F.regexp_extract_all(F.col(f"_{name}_low"), F.lit(WORD_RUN), F.lit(0))
+            ).alias("terms"),
+        )
+        for name in texts
+    }
+    return df.withColumns(out).drop(*[f"_{name}_{part}" for name in texts for part in ("low", "clean")])
 
 
 def overlap(left: Column, right: Column) -> Column:

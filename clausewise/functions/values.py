@@ -21,7 +21,8 @@ BLANK_RUN = (
     r"[ \t\n\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 )
-NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+NUMERIC = {"tinyint", "smallint", "int", "bigint", "float", "double"}
 
 
 def strip(c: Column) -> Column:
@@ -36,7 +37,8 @@ def text_of(c: Column) -> Column:
 def filled(c: Column) -> Column:
     """Value as stripped text, or null when it is empty or an empty word."""
     stripped = strip(c.cast("string"))
-    return F.when((stripped != "") & ~F.lower(stripped).isin(rules.EMPTY_WORDS), stripped)
+    # The words have at most four letters, so five are enough to tell them.
+    return F.when(~F.lower(F.substring(stripped, 1, 5)).isin("", *rules.EMPTY_WORDS), stripped)
 
 
 def clean(c: Column) -> Column:
@@ -73,17 +75,46 @@ def contains_all(c: Column, words: Sequence[str]) -> Column:
 
 def to_number(c: Column) -> Column:
     """Text or number as double; anything else is null (never NaN)."""
-    text = strip(c.cast("string"))
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.regexp_extract(strip(c.cast("string")), NUMBER, 0).try_cast("double")
+
+
+def number_in(df: DataFrame, name: str) -> Column:
+    """Column as double or null; columns that are numbers already stay untouched."""
+    if name not in df.columns:
+        return F.lit(None).cast("double")
+    c = F.col(f"`{name}`")
+    if is_numeric(df, name):
+        return F.when(~F.isnan(c.cast("double")), c.cast("double"))
+    return to_number(c)
+
+
+def is_numeric(df: DataFrame, name: str) -> bool:
+    kind = df.schema[name].dataType.simpleString()
+    return kind in NUMERIC or kind.startswith("decimal")
 
 
 def to_share(c: Column) -> Column:
     """Share in 0..1: 85%, 85 and 0.85 are all 0.85, junk is 0."""
     text = clean(c)
-    number = F.coalesce(to_number(F.replace(text, F.lit("%"), F.lit(""))), F.lit(0.0))
-    number = F.when(text.contains("%"), number / 100.0).otherwise(number)
-    number = F.when(number > 1.0, number / 100.0).otherwise(number)
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), number))
+    number = to_number(F.replace(text, F.lit("%"), F.lit("")))
+    number = number / F.when(text.contains("%"), 100.0).otherwise(1.0)
+    return F.coalesce(_share(number), F.lit(0.0))
+
+
+def _share(number: Column) -> Column:
+    return F.greatest(F.lit(0.0), F.when(number > 1.0, F.least(F.lit(1.0), number / 100.0)).otherwise(number))
+
+
+def first_share(df: DataFrame, names: Iterable[str]) -> Column:
+    """Share of the first filled column among those that exist; 0 without any."""
+    parts = []
+    for name in (n for n in names if n in df.columns):
+        if is_numeric(df, name):
+            parts.append(_share(number_in(df, name)))
+        else:
+            c = F.col(f"`{name}`")
+            parts.append(F.when(filled(c).isNotNull(), to_share(c)))
+    return F.coalesce(*parts, F.lit(0.0))
 
 
 def is_flag(c: Column) -> Column:

@@ -23,7 +23,7 @@ def role_columns(df: DataFrame, role: str) -> DataFrame:
     """
     generic = next((name for name in ("predicted_label", "label") if name in df.columns), None)
     label = F.coalesce(F.col(generic).cast("string"), F.lit("")) if generic else F.lit("")
-    confidence = v.to_number(F.col("confidence")) if "confidence" in df.columns else F.lit(None).cast("double")
+    confidence = v.number_in(df, "confidence")
     out = {}
     for name in ("level", "category"):
         pred, conf = f"pred_{name}", f"{name}_confidence"
@@ -32,7 +32,7 @@ def role_columns(df: DataFrame, role: str) -> DataFrame:
         if conf not in df.columns:
             out[conf] = confidence if name == role else F.lit(None).cast("double")
         elif name == role:
-            out[conf] = v.to_number(F.col(conf))
+            out[conf] = v.number_in(df, conf)
     return df.withColumns(out)
 
 
@@ -53,7 +53,7 @@ def attach_category(
     second = predictions.select(
         id_col,
         F.col("predicted_label").alias("pred_category"),
-        v.to_number(F.col("confidence")).alias("category_confidence"),
+        v.number_in(predictions, "confidence").alias("category_confidence"),
         F.col("predicted_label_id").alias("category_label_id"),
     )
     return issues.drop("pred_category", "category_confidence", "category_label_id").join(second, id_col, "left")
@@ -63,87 +63,89 @@ def review_flag(df: DataFrame, threshold: float = rules.REVIEW_THRESHOLD) -> Col
     """Flagged already, or one of both confidences below the threshold (missing counts as sure)."""
     flag = v.is_flag(F.col("need_manual_review")) if "need_manual_review" in df.columns else F.lit(False)
     for name in ("level_confidence", "category_confidence"):
-        if name in df.columns:
-            flag = flag | (F.coalesce(v.to_number(F.col(name)), F.lit(1.0)) < threshold)
+        flag = flag | (F.coalesce(v.number_in(df, name), F.lit(1.0)) < threshold)
     return flag
 
 
-def priority_columns(df: DataFrame, priority_rules: Mapping = rules.PRIORITY_RULES) -> dict[str, Column]:
-    """Score, label, reason and the five part scores of each issue."""
+def with_priority(df: DataFrame, priority_rules: Mapping = rules.PRIORITY_RULES) -> DataFrame:
+    """Add score, label, reason and the five part scores of each issue."""
     w, repeats = priority_rules["weights"], priority_rules["repeat_thresholds"]
-    level = v.first_filled(
-        df, ["pred_level", "final_level", "issue_level", "predicted_label", "label"], rules.UNKNOWN
+    levels = ["pred_level", "final_level", "issue_level", "predicted_label", "label"]
+    categories = ["pred_category", "final_category", "issue_category"]
+    df = df.withColumns(
+        {
+            "_level": v.first_filled(df, levels, rules.UNKNOWN),
+            "_category": v.first_filled(df, categories, rules.UNKNOWN),
+            "_device": v.first_filled(df, ["device_type"], rules.DEVICE_DEFAULT),
+        }
     )
-    category = v.first_filled(df, ["pred_category", "final_category", "issue_category"], rules.UNKNOWN)
-    device = v.first_filled(df, ["device_type"], rules.DEVICE_DEFAULT)
+    level, category, device = F.col("_level"), F.col("_category"), F.col("_device")
 
     device_score = F.lit(float(priority_rules["device_default_score"]))
     for group in reversed(priority_rules["device_scores"]):
-        device_score = F.when(v.contains_any(device, group["keywords"]), float(group["score"])).otherwise(device_score)
+        hit = v.contains_any(device, group["keywords"])
+        device_score = F.when(hit, float(group["score"])).otherwise(device_score)
 
-    counted = next((name for name in ("repeat_count", "historical_count") if name in df.columns), None)
-    repeat = F.coalesce(v.to_number(F.col(counted)), F.lit(0.0)).cast("bigint") if counted else F.lit(0)
+    counted = "repeat_count" if "repeat_count" in df.columns else "historical_count"
+    repeat = F.coalesce(v.number_in(df, counted), F.lit(0.0)).cast("bigint")
     repeat_score = (
         F.when(repeat >= repeats["high"], float(repeats["high_score"]))
         .when(repeat >= repeats["medium"], float(repeats["medium_score"]))
         .otherwise(float(repeats["default_score"]))
     )
-
-    def sure(name: str) -> Column:
-        default = F.lit(float(priority_rules["confidence_default"]))
-        return F.coalesce(v.to_number(F.col(name)), default) if name in df.columns else default
-
+    unsure = F.lit(float(priority_rules["confidence_default"]))
+    sure = [F.coalesce(v.number_in(df, name), unsure) for name in ("level_confidence", "category_confidence")]
     level_scores, category_scores = priority_rules["level_scores"], priority_rules["category_scores"]
     parts = {
         "level_score": v.mapped(level, level_scores, level_scores[rules.UNKNOWN]),
         "device_score": device_score,
         "category_score": v.mapped(category, category_scores, category_scores[rules.UNKNOWN]),
         "repeat_score": repeat_score,
-        "confidence_score": (sure("level_confidence") + sure("category_confidence")) / 2.0,
+        "confidence_score": (sure[0] + sure[1]) / 2.0,
     }
-    score = F.lit(0.0)
-    for name, part in parts.items():
-        score = score + float(w[name]) * part
-    score = v.rounded(score, 4)
-    cuts = priority_rules["label_thresholds"]
+    df = df.withColumns(parts)
+    mixed = F.lit(0.0)
+    for name in parts:
+        mixed = mixed + float(w[name]) * F.col(name)
+    df = df.withColumn("priority_score", v.rounded(mixed, 4))
+    score, cuts = F.col("priority_score"), priority_rules["label_thresholds"]
     label = F.when(score >= cuts["high"], "高").when(score >= cuts["medium"], "中").otherwise("低")
+    df = df.withColumn("priority_label", label)
     reason = F.concat(
         F.lit("问题等级为"), level, F.lit("，涉及设备为"), device, F.lit("，问题类别为"), category,
-        F.lit("，综合历史重复情况和模型置信度后，建议按"), label, F.lit("优先级处理。"),
+        F.lit("，综合历史重复情况和模型置信度后，建议按"), F.col("priority_label"), F.lit("优先级处理。"),
     )
-    return {
-        "priority_score": score,
-        "priority_label": label,
-        "priority_reason": reason,
-        **{name: v.rounded(part, 4) for name, part in parts.items()},
-    }
+    out = {"priority_reason": reason, "confidence_score": v.rounded(F.col("confidence_score"), 4)}
+    return df.withColumns(out).drop("_level", "_category", "_device")
 
 
-def advice_columns(df: DataFrame, suggestion_rules: Mapping = rules.SUGGESTION_RULES) -> dict[str, Column]:
-    """Suggestion, basis and action by category, from a literal map."""
+def with_advice(df: DataFrame, suggestion_rules: Mapping = rules.SUGGESTION_RULES) -> DataFrame:
+    """Add suggestion, basis and action by category, from a literal map."""
     by_category = suggestion_rules["category_rules"]
-    category = v.first_filled(df, ["pred_category", "issue_category"], rules.UNKNOWN)
+    df = df.withColumn("_category", v.first_filled(df, ["pred_category", "issue_category"], rules.UNKNOWN))
 
     def advice(part: str) -> Column:
         pairs = [F.lit(x) for name, texts in by_category.items() for x in (name, texts[part])]
         other = F.lit(by_category[rules.UNKNOWN][part])
-        return F.coalesce(F.element_at(F.create_map(*pairs), category), other)
+        return F.coalesce(F.element_at(F.create_map(*pairs), F.col("_category")), other)
 
     flagged = F.lit(False)
     for name in ("need_review", "need_manual_review"):
         if name in df.columns:
             flagged = flagged | v.is_flag(F.col(name))
     label = v.first_filled(df, ["priority_label"])
-    return {
-        "suggestion": advice("suggestion"),
-        "suggestion_basis": advice("basis"),
-        "recommended_action": F.concat_ws(
-            " ",
-            advice("action"),
-            F.when(label == "高", suggestion_rules["high_priority_action"]),
-            F.when(flagged, suggestion_rules["need_review_action"]),
-        ),
-    }
+    return df.withColumns(
+        {
+            "suggestion": advice("suggestion"),
+            "suggestion_basis": advice("basis"),
+            "recommended_action": F.concat_ws(
+                " ",
+                advice("action"),
+                F.when(label == "高", suggestion_rules["high_priority_action"]),
+                F.when(flagged, suggestion_rules["need_review_action"]),
+            ),
+        }
+    ).drop("_category")
 
 
 def decide(
@@ -157,8 +159,8 @@ def decide(
     """The whole step; rule overrides are laid over the defaults, old outputs are replaced."""
     df = role_columns(df, role)
     df = df.withColumn("need_review", review_flag(df, threshold))
-    df = df.withColumns(priority_columns(df, rules.merged(rules.PRIORITY_RULES, priority_rules)))
-    return df.withColumns(advice_columns(df, rules.merged(rules.SUGGESTION_RULES, suggestion_rules)))
+    df = with_priority(df, rules.merged(rules.PRIORITY_RULES, priority_rules))
+    return with_advice(df, rules.merged(rules.SUGGESTION_RULES, suggestion_rules))
 
 
 def confirmed_label_columns(df: DataFrame) -> dict[str, Column]:

@@ -98,16 +98,31 @@ def _list(*items: Column) -> Column:
     return F.filter(F.array(*items), lambda x: x.isNotNull())
 
 
-def nested_graph(df: DataFrame, role: str = "level") -> dict[str, Column]:
-    """graph_nodes and graph_edges of each issue as JSON arrays."""
-    first = lambda name: v.first_filled(df, RECORD_ALIASES[name])
-    blank = F.lit("")
-    text = first("issue_text")
-    issue = F.coalesce(v.filled(first("issue_id")), v.hashed_id("problem", text))
+NESTED_FIELDS = [
+    "issue_id", "issue_text", "device_type", "specialty", "kg_standard_id", "kg_standard_name",
+    "kg_clause_id", "kg_clause_title", "kg_relation_confidence",
+]
+
+
+def with_nested_graph(df: DataFrame, role: str = "level") -> DataFrame:
+    """Add graph_nodes and graph_edges of each issue as JSON arrays."""
     category, level = _issue_labels(df, role)
-    device, specialty = first("device_type"), first("specialty")
+    found = {f"_{name}": v.first_filled(df, RECORD_ALIASES[name]) for name in NESTED_FIELDS}
+    found |= {
+        "_category": category,
+        "_level": level,
+        "_reason": v.first_filled(df, RELATION_REASONS),
+        "_refs": v.first_filled(df, ["kg_standard_refs"]),
+    }
+    columns = df.columns
+    df = df.withColumns(found)
+    first = lambda name: F.col(f"_{name}")
+    some = lambda a, b: F.when(a != "", a).otherwise(b)
+    df = df.withColumn("_problem", some(first("issue_id"), v.hashed_id("problem", first("issue_text"))))
+    blank, text, issue = F.lit(""), first("issue_text"), F.col("_problem")
+    category, level, confidence = first("category"), first("level"), first("kg_relation_confidence")
+    device, specialty, reason = first("device_type"), first("specialty"), first("reason")
     clause, title = first("kg_clause_id"), first("kg_clause_title")
-    confidence, reason = first("kg_relation_confidence"), v.first_filled(df, RELATION_REASONS)
 
     plain = [
         (category, "category", "has_category", "predicted_category"),
@@ -120,7 +135,7 @@ def nested_graph(df: DataFrame, role: str = "level") -> dict[str, Column]:
         target = v.hashed_id(kind, value)
         nodes.append(F.when(value != "", _node(target, kind, value)))
         edges.append(F.when(value != "", _edge(issue, target, relation, F.lit(field), blank, blank)))
-    nodes.append(F.when(clause != "", _node(clause, "clause", F.coalesce(v.filled(title), clause))))
+    nodes.append(F.when(clause != "", _node(clause, "clause", some(title, clause))))
     edges.append(
         F.when(clause != "", _edge(issue, clause, "related_to_clause", F.lit("kg_clause_id"), confidence, reason))
     )
@@ -128,19 +143,20 @@ def nested_graph(df: DataFrame, role: str = "level") -> dict[str, Column]:
     standard_id, standard_name = first("kg_standard_id"), first("kg_standard_name")
     pair = lambda id_, name, field: F.struct(id_.alias("id"), name.alias("name"), F.lit(field).alias("field"))
     own = pair(
-        F.coalesce(v.filled(standard_id), v.hashed_id("standard", standard_name)),
-        F.coalesce(v.filled(standard_name), standard_id),
+        some(standard_id, v.hashed_id("standard", standard_name)),
+        some(standard_name, standard_id),
         "kg_standard_id",
     )
     refs = F.transform(
-        v.split_refs(v.first_filled(df, ["kg_standard_refs"]), v.CLAUSE_REF_BREAK),
+        v.split_refs(F.col("_refs"), v.CLAUSE_REF_BREAK),
         lambda ref: pair(v.hashed_id("standard", ref), ref, "kg_standard_refs"),
     )
     pairs = F.when((standard_id != "") | (standard_name != ""), F.array(own)).otherwise(refs)
-    standard_nodes = F.transform(pairs, lambda p: _node(p["id"], "standard", p["name"]))
+    df = df.withColumn("_pairs", pairs)
+    standard_nodes = F.transform("_pairs", lambda p: _node(p["id"], "standard", p["name"]))
     standard_edges = F.flatten(
         F.transform(
-            pairs,
+            "_pairs",
             lambda p: _list(
                 _edge(issue, p["id"], "related_to_standard", p["field"], confidence, reason),
                 F.when(
@@ -150,14 +166,18 @@ def nested_graph(df: DataFrame, role: str = "level") -> dict[str, Column]:
             ),
         )
     )
-    all_nodes = F.concat(_list(*nodes), standard_nodes)
+    df = df.withColumn("_nodes", F.concat(_list(*nodes), standard_nodes))
     # A node id that comes twice keeps its first place and its last content.
-    ids = F.array_distinct(F.transform(all_nodes, lambda n: n["id"]))
-    last = F.transform(ids, lambda i: F.element_at(F.filter(all_nodes, lambda n: n["id"] == i), -1))
-    return {
-        "graph_nodes": F.to_json(last),
-        "graph_edges": F.to_json(F.concat(_list(*edges), standard_edges)),
-    }
+    df = df.withColumn("_ids", F.array_distinct(F.col("_nodes.id")))
+    last = F.transform(
+        "_ids", lambda i: F.element_at(F.filter("_nodes", lambda n: n["id"] == i), -1)
+    )
+    unique = F.when(F.size("_ids") == F.size("_nodes"), F.col("_nodes")).otherwise(last)
+    return df.select(
+        *columns,
+        F.to_json(unique).alias("graph_nodes"),
+        F.to_json(F.concat(_list(*edges), standard_edges)).alias("graph_edges"),
+    )
 
 
 def graph_records(df: DataFrame, role: str = "level") -> DataFrame:
@@ -167,8 +187,9 @@ def graph_records(df: DataFrame, role: str = "level") -> DataFrame:
         "issue_category": category,
         "issue_level": level,
         **confirmed_label_columns(df),
-        **nested_graph(df, role),
     }
+    df = with_nested_graph(df.drop("graph_nodes", "graph_edges"), role)
+    own |= {name: F.col(name) for name in ("graph_nodes", "graph_edges")}
 
     def value(name: str) -> Column:
         return own[name] if name in own else v.first_filled(df, RECORD_ALIASES.get(name, [name]))

@@ -34,10 +34,14 @@ def lookup_join(
     *,
     limit: int = BROADCAST_BYTES,
     salts: int = SALTS,
+    small_fits: bool | None = None,
 ) -> DataFrame:
-    """Join on equal columns; ``how`` is inner or left (the large side is kept)."""
+    """Join on equal columns; ``how`` is inner or left (the large side is kept).
+
+    ``small_fits`` passes on the outcome of an earlier measurement.
+    """
     keys = list(on)
-    if fits(small, limit):
+    if fits(small, limit) if small_fits is None else small_fits:
         return large.join(F.broadcast(small), keys, how)
     others = [F.col(f"`{c}`") for c in large.columns if c not in keys]
     spread = F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int") if others else F.lit(0)

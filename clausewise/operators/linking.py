@@ -9,6 +9,7 @@ the issues then find their rows where they already are.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 from clausewise import rules
 from clausewise.functions import text as t
 from clausewise.functions import values as v
-from clausewise.operators.joins import BROADCAST_BYTES, lookup_join
-from clausewise.operators.revision import relation_of, revision_columns
+from clausewise.operators.joins import BROADCAST_BYTES, fits, lookup_join
+from clausewise.operators.revision import relation_of, with_revision
 from clausewise.operators.stages import canonical_stage
 
 NAMES_IN_ROW = 1000
@@ -100,28 +101,32 @@ def issue_level(df: DataFrame) -> Column:
     return v.first_filled(df, rules.LINK_ALIASES["level"])
 
 
-def issue_stage(df: DataFrame, stage_aliases: Mapping[str, str] | None = None) -> Column:
-    return canonical_stage(v.first_filled(df, rules.LINK_ALIASES["stage"]), stage_aliases)
-
-
 def issue_features(
     issues: DataFrame, id_col: str, stage_aliases: Mapping[str, str] | None = None
 ) -> DataFrame:
     """What the score needs of an issue, texts prepared.  ``equipment`` must be there."""
-    text = v.first_filled(issues, rules.LINK_ALIASES["text"])
-    return issues.select(
+    read = issues.select(
         id_col,
         "equipment",
-        text.alias("issue_text"),
-        t.tokens(text).alias("issue"),
-        t.tokens(v.first_filled(issues, ["checkpoint_text"])).alias("checkpoint"),
-        t.tokens(v.joined_filled(issues, rules.OPINION_FIELDS)).alias("opinion"),
-        t.tokens(v.first_filled(issues, ["rule_name"])).alias("rule"),
+        v.first_filled(issues, rules.LINK_ALIASES["text"]).alias("issue_text"),
         v.first_filled(issues, rules.LINK_ALIASES["category"]).alias("category"),
-        t.tokens(v.first_filled(issues, rules.LINK_ALIASES["category"])).alias("category_tokens"),
-        issue_stage(issues, stage_aliases).alias("stage"),
+        v.first_filled(issues, ["checkpoint_text"]).alias("_checkpoint"),
+        v.joined_filled(issues, rules.OPINION_FIELDS).alias("_opinion"),
+        v.first_filled(issues, ["rule_name"]).alias("_rule"),
+        v.first_filled(issues, rules.LINK_ALIASES["stage"]).alias("_stage"),
         issue_level(issues).alias("level"),
     )
+    texts = {
+        "issue": F.col("issue_text"),
+        "checkpoint": F.col("_checkpoint"),
+        "opinion": F.col("_opinion"),
+        "rule": F.col("_rule"),
+        "category_tokens": F.col("category"),
+    }
+    stage = canonical_stage(F.col("_stage"), stage_aliases)
+    return t.with_tokens(read.withColumn("stage", stage), texts).drop(
+        "_checkpoint", "_opinion", "_rule", "_stage"
+    )
 
 
 def point_features(points: DataFrame) -> DataFrame:
@@ -134,16 +139,19 @@ def point_features(points: DataFrame) -> DataFrame:
     ]
     parts = [F.nullif(listed.get(name, F.col(name)), blank()) for name in order]
     own = F.concat(F.col("full_text"), F.lit(" "), listed["requirements"])
-    return points.select(
+    texts = {
+        "point_all": F.concat_ws(" ", *parts),
+        "point_own": own,
+        "point_standards": listed["standards"],
+        "point_category_tokens": F.col("problem_category"),
+    }
+    return t.with_tokens(points, texts).select(
         "point_id",
         "point_pos",
         "equipment",
-        t.tokens(F.concat_ws(" ", *parts)).alias("point_all"),
-        t.tokens(own).alias("point_own"),
-        t.tokens(listed["standards"]).alias("point_standards"),
+        *texts,
         F.col("keywords").alias("point_keywords"),
         F.col("problem_category").alias("point_category"),
-        t.tokens(F.col("problem_category")).alias("point_category_tokens"),
         F.col("stage").alias("point_stage"),
         F.col("severity").alias("point_severity"),
         (F.col("clause_id") != "").alias("has_clause"),
@@ -156,6 +164,7 @@ def candidates(
     *,
     any_equipment: bool = True,
     limit: int = BROADCAST_BYTES,
+    points_fit: bool | None = None,
 ) -> DataFrame:
     """Issues with the clauses of their equipment.
 
@@ -164,9 +173,10 @@ def candidates(
     """
     if not any_equipment:
         points = points.withColumn("equipment", blank())
-        return lookup_join(issues.withColumn("equipment", blank()), points, ["equipment"], limit=limit)
-    named = issues.filter(F.col("equipment") != "")
-    return lookup_join(named, points, ["equipment"], limit=limit)
+        issues = issues.withColumn("equipment", blank())
+    else:
+        issues = issues.filter(F.col("equipment") != "")
+    return lookup_join(issues, points, ["equipment"], limit=limit, small_fits=points_fit)
 
 
 # ---------------------------------------------------------------------- score
@@ -176,27 +186,25 @@ def scored(pairs: DataFrame, match_rules: Mapping = rules.MATCH_RULES) -> DataFr
     """Pairs with their part scores, hits, total score and reason."""
     w = match_rules["weights"]
     c = F.col
-    category = F.when(
-        (c("category") != "") & (c("point_category") != "") & (c("category") == c("point_category")), 1.0
-    ).otherwise(t.similarity(c("category_tokens"), c("point_category_tokens"), match_rules))
+    same_category = (c("category") != "") & (c("category") == c("point_category"))
+    alike = lambda left, right: t.similarity(c(left), c(right), match_rules)
     parts = pairs.withColumns(
         {
-            "checkpoint_score": t.similarity(c("checkpoint"), c("point_own"), match_rules),
-            "issue_score": t.similarity(c("issue"), c("point_all"), match_rules),
-            "opinion_score": t.similarity(c("opinion"), c("point_all"), match_rules),
-            "rule_score": t.similarity(c("rule"), c("point_standards"), match_rules),
-            "category_score": category,
+            "checkpoint_score": alike("checkpoint", "point_own"),
+            "issue_score": alike("issue", "point_all"),
+            "opinion_score": alike("opinion", "point_all"),
+            "rule_score": alike("rule", "point_standards"),
+            "category_score": F.when(same_category, 1.0).otherwise(alike("category_tokens", "point_category_tokens")),
             "stage_score": F.when((c("stage") != "") & (c("stage") == c("point_stage")), 1.0).otherwise(0.0),
             "severity_score": F.when((c("level") != "") & (c("level") == c("point_severity")), 1.0).otherwise(0.0),
             "keyword_hits": t.keyword_hits(c("point_keywords"), c("issue_text")),
+            "keywords_listed": F.size("point_keywords"),
             "checkpoint_hit": (c("checkpoint.clean") != "")
             & c("point_own.clean").contains(c("checkpoint.clean")),
         }
     )
-    parts = parts.withColumn(
-        "keyword_score",
-        F.when(F.size("point_keywords") > 0, c("keyword_hits") / F.size("point_keywords")).otherwise(0.0),
-    )
+    keyword_score = F.when(c("keywords_listed") > 0, c("keyword_hits") / c("keywords_listed")).otherwise(0.0)
+    parts = parts.withColumn("keyword_score", keyword_score)
     total = (
         w["checkpoint"] * c("checkpoint_score")
         + w["issue"] * c("issue_score")
@@ -217,18 +225,22 @@ def scored(pairs: DataFrame, match_rules: Mapping = rules.MATCH_RULES) -> DataFr
             F.lit(float(match_rules["keyword_floor_top"])),
         ),
     ).otherwise(0.0)
-    reason = F.concat_ws(
+    best = F.least(F.lit(1.0), F.greatest(total, exact_floor, keyword_floor))
+    return parts.withColumn("score", v.rounded(best, 4))
+
+
+def reason_of(match_rules: Mapping = rules.MATCH_RULES) -> Column:
+    """The part scores of a match in words."""
+    shown = [("checkpoint", 2), ("issue", 2), ("keyword", 2), ("category", 2), ("stage", 0), ("severity", 0)]
+    label = {"keyword": "keywords"}
+    return F.concat_ws(
         "; ",
-        F.when(c("checkpoint_hit"), match_rules["checkpoint_reason"]),
-        F.concat(F.lit("checkpoint="), v.fixed(c("checkpoint_score"), 2)),
-        F.concat(F.lit("issue="), v.fixed(c("issue_score"), 2)),
-        F.concat(F.lit("keywords="), v.fixed(c("keyword_score"), 2)),
-        F.concat(F.lit("category="), v.fixed(c("category_score"), 2)),
-        F.concat(F.lit("stage="), v.fixed(c("stage_score"), 0)),
-        F.concat(F.lit("severity="), v.fixed(c("severity_score"), 0)),
+        F.when(F.col("checkpoint_hit"), match_rules["checkpoint_reason"]),
+        *[
+            F.concat(F.lit(f"{label.get(name, name)}="), v.fixed(F.col(f"{name}_score"), digits))
+            for name, digits in shown
+        ],
     )
-    best = F.least(F.lit(1.0), F.greatest(total, exact_floor, keyword_floor))
-    return parts.withColumns({"score": v.rounded(best, 4), "reason": reason})
 
 
 def match_scores(
@@ -240,6 +252,7 @@ def match_scores(
     match_rules: Mapping = rules.MATCH_RULES,
     stage_aliases: Mapping[str, str] | None = None,
     limit: int = BROADCAST_BYTES,
+    points_fit: bool | None = None,
 ) -> DataFrame:
     """Every candidate pair with its part scores; thin rows without the texts."""
     pairs = candidates(
@@ -247,27 +260,44 @@ def match_scores(
         point_features(points),
         any_equipment=any_equipment,
         limit=limit,
+        points_fit=points_fit,
     )
     return scored(pairs, match_rules).select(
         id_col, "point_id", "point_pos", "checkpoint_score", "issue_score", "keyword_score",
         "category_score", "opinion_score", "rule_score", "stage_score", "severity_score",
-        "keyword_hits", "score", "reason",
+        "keyword_hits", "checkpoint_hit", "score",
     )
 
 
 def best_matches(
-    scores: DataFrame, id_col: str, top_k: int = rules.TOP_K, min_score: float = rules.MIN_SCORE
+    scores: DataFrame,
+    id_col: str,
+    top_k: int = rules.TOP_K,
+    min_score: float = rules.MIN_SCORE,
+    match_rules: Mapping = rules.MATCH_RULES,
 ) -> DataFrame:
     """The k best clauses of each issue, ties by clause order, ranked from 1."""
     order = Window.partitionBy(id_col).orderBy(F.desc("score"), "point_pos", "point_id")
     ranked = scores.filter(F.col("score") >= min_score).withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.col("rank") <= top_k)
+    return ranked.filter(F.col("rank") <= top_k).withColumn("reason", reason_of(match_rules))
 
 
 def any_row(df: DataFrame) -> bool:
     return bool(df.limit(1).count())
 
 
+@dataclass(frozen=True)
+class Links:
+    """Issues with their ``equipment``, their ranked matches, and what is known of the clauses."""
+
+    issues: DataFrame
+    matches: DataFrame
+    id_col: str
+    any_point: bool
+    any_equipment: bool
+    points_fit: bool
+
+
 def link(
     issues: DataFrame,
     points: DataFrame,
@@ -279,15 +309,17 @@ def link(
     match_rules: Mapping = rules.MATCH_RULES,
     stage_aliases: Mapping[str, str] | None = None,
     limit: int = BROADCAST_BYTES,
-) -> tuple[DataFrame, DataFrame, bool]:
-    """Issues with their equipment, their ranked matches, and whether equipment matters."""
+) -> Links:
+    """Find the equipment of every issue and its best clauses."""
     any_equipment = any_row(names)
+    points_fit = fits(point_features(points), limit)
     spread = with_equipment(issues.repartition(id_col), names, id_col)
     scores = match_scores(
         spread, points, id_col, any_equipment=any_equipment, match_rules=match_rules,
-        stage_aliases=stage_aliases, limit=limit,
+        stage_aliases=stage_aliases, points_fit=points_fit,
     )
-    return spread, best_matches(scores, id_col, top_k, min_score), any_equipment
+    matches = best_matches(scores, id_col, top_k, min_score, match_rules)
+    return Links(spread, matches, id_col, any_row(points), any_equipment, points_fit)
 
 
 def match_status(any_point: bool, any_equipment: bool) -> Column:
@@ -300,17 +332,15 @@ def match_status(any_point: bool, any_equipment: bool) -> Column:
     return status.otherwise("low_score")
 
 
-def with_status(
-    linked: DataFrame, matches: DataFrame, id_col: str, *, any_point: bool, any_equipment: bool
-) -> DataFrame:
-    """Issues with their best match (if any) and the match status."""
-    best = matches.filter("rank = 1").select(id_col, "point_id", "score", "reason")
-    return linked.join(best, id_col, "left").withColumn(
-        "kg_match_status", match_status(any_point, any_equipment)
-    )
+def with_status(links: Links, keep: Sequence[str] = ()) -> DataFrame:
+    """Ids (and columns to keep) with the best match, if any, and the match status."""
+    best = links.matches.filter("rank = 1").select(links.id_col, "point_id", "score", "reason")
+    ids = links.issues.select(links.id_col, "equipment", *keep)
+    status = match_status(links.any_point, links.any_equipment)
+    return ids.join(best, links.id_col, "left").withColumn("kg_match_status", status)
 
 
-def nested_matches(matches: DataFrame, points: DataFrame, id_col: str) -> DataFrame:
+def nested_matches(links: Links, points: DataFrame) -> DataFrame:
     """The k matches of each issue as one JSON array in rank order."""
     shown = points.select("point_id", "full_text", "project", "stage", "standards")
     entry = F.struct(
@@ -324,9 +354,10 @@ def nested_matches(matches: DataFrame, points: DataFrame, id_col: str) -> DataFr
             F.col("standards").alias("kg_standard_refs"),
         ).alias("match"),
     )
-    listed = lookup_join(matches.select(id_col, "point_id", "rank", "score"), shown, ["point_id"])
-    grouped = listed.groupBy(id_col).agg(F.sort_array(F.collect_list(entry)).alias("m"))
-    return grouped.select(id_col, F.to_json(F.col("m.match")).alias("kg_top_matches"))
+    thin = links.matches.select(links.id_col, "point_id", "rank", "score")
+    listed = lookup_join(thin, shown, ["point_id"], small_fits=links.points_fit)
+    grouped = listed.groupBy(links.id_col).agg(F.sort_array(F.collect_list(entry)).alias("m"))
+    return grouped.select(links.id_col, F.to_json(F.col("m.match")).alias("kg_top_matches"))
 
 
 def enrich_issues(
@@ -346,19 +377,15 @@ def enrich_issues(
 
     ``order_col`` is unique per issue; it names issues that have no id.
     """
-    linked, matches, any_equipment = link(
+    links = link(
         issues, points, names, order_col, top_k=top_k, min_score=min_score,
         match_rules=match_rules, stage_aliases=stage_aliases, limit=limit,
     )
-    any_point = any_row(points)
-    best = with_status(
-        linked.select(order_col, "equipment"), matches, order_col,
-        any_point=any_point, any_equipment=any_equipment,
-    ).join(nested_matches(matches, points, order_col), order_col, "left")
+    best = with_status(links).join(nested_matches(links, points), order_col, "left")
     # Points under names of their own, to stay apart from the issue's columns.
     named = points.select(*[F.col(c).alias(f"p_{c}") for c in points.columns])
-    best = lookup_join(best.withColumnRenamed("point_id", "p_point_id"), named, ["p_point_id"], "left")
-    full = linked.drop("equipment").join(best.drop("equipment"), order_col)
+    best = lookup_join(best.withColumnRenamed("point_id", "p_point_id"), named, ["p_point_id"], "left", small_fits=links.points_fit)
+    full = links.issues.drop("equipment").join(best.drop("equipment"), order_col)
 
     p = lambda name: F.col(f"p_{name}")
     text = lambda c: F.coalesce(c, blank())
@@ -371,16 +398,10 @@ def enrich_issues(
     fallback = F.concat(F.lit("problem_"), F.col(order_col).cast("string"))
     issue_id = F.coalesce(F.nullif(v.first_filled(issues, rules.LINK_ALIASES["issue_id"]), blank()), fallback)
     matched = F.col("kg_match_status") == "matched"
-    full = full.withColumns(
-        revision_columns(
-            issues,
-            matched,
-            p("standard_status"),
-            F.concat_ws(" ", p("standards"), p("requirements")),
-            score,
-            revision_rules,
-        )
-    )
+    evidence = F.concat_ws(" ", p("standards"), p("requirements"))
+    full = full.drop("revision_need", "revision_need_type", "revision_priority_score")
+    full = full.drop("revision_priority_label", "revision_reason")
+    full = with_revision(full, matched, p("standard_status"), evidence, score, revision_rules)
     relation = relation_of(matched, F.col("revision_need_type"), p("standard_status"))
     cut = rules.REVISION_PRIORITY_RULES["label_thresholds"]
     priority = (

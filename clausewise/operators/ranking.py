@@ -63,38 +63,44 @@ def expand(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     reference; issues without any standard drop out.  ``order_0``... carry the
     input order, the first of them also names issues without an id.
     """
-    field = lambda name: resolve(df, name)
-    standard_id, standard_name = field("kg_standard_id"), field("kg_standard_name")
+    texts = [
+        "problem_id", "problem_text", *DIMENSIONS, "predicted_severity", "kg_standard_id",
+        "kg_standard_name", "kg_standard_refs", "kg_clause_id", "kg_clause_title", "standard_no",
+        "standard_status", "clause_no", "kg_relation_type", "revision_need_type", "need_review",
+        "revision_demand",
+    ]
+    shares = [
+        "category_confidence", "severity_confidence", "kg_relation_confidence",
+        "standard_revision_priority_score",
+    ]
+    read = df.select(
+        *[F.col(name).alias(f"order_{i}") for i, name in enumerate(order_by)],
+        *[resolve(df, name).alias(name) for name in texts],
+        *[v.first_share(df, rules.FIELD_ALIASES[name]).alias(name) for name in shares],
+    )
+    id_, name, demand = F.col("kg_standard_id"), F.col("kg_standard_name"), F.col("revision_demand")
     own = F.struct(
-        F.coalesce(v.filled(standard_id), v.hashed_id("standard", standard_name, 10)).alias("kg_standard_id"),
-        F.coalesce(v.filled(standard_name), standard_id).alias("kg_standard_name"),
+        F.when(id_ != "", id_).otherwise(v.hashed_id("standard", name, 10)).alias("kg_standard_id"),
+        F.when(name != "", name).otherwise(id_).alias("kg_standard_name"),
     )
     listed = F.transform(
-        v.split_refs(field("kg_standard_refs"), v.CLAUSE_REF_BREAK),
+        v.split_refs(F.col("kg_standard_refs"), v.CLAUSE_REF_BREAK),
         lambda ref: F.struct(
             v.hashed_id("standard", ref, 10).alias("kg_standard_id"), ref.alias("kg_standard_name")
         ),
     )
-    standards = F.when((standard_id != "") | (standard_name != ""), F.array(own)).otherwise(listed)
-    demand = field("revision_demand")
-    row_name = F.concat(F.lit("row_"), F.col(order_by[0]).cast("string"))
-    base = df.select(
-        F.coalesce(v.filled(field("problem_id")), row_name).alias("problem_id"),
-        *[field(name).alias(name) for name in ("problem_text", *DIMENSIONS, "predicted_severity")],
-        v.is_demand(field("need_review")).alias("need_review"),
-        v.to_share(field("category_confidence")).alias("category_confidence"),
-        v.to_share(field("severity_confidence")).alias("severity_confidence"),
-        field("kg_clause_id").alias("kg_clause_id"),
-        F.when(field("kg_clause_id") != "", field("kg_clause_title")).otherwise("").alias("kg_clause_title"),
-        *[field(name).alias(name) for name in ("standard_no", "standard_status", "clause_no", "kg_relation_type")],
-        v.to_share(field("kg_relation_confidence")).alias("kg_relation_confidence"),
-        (v.is_demand(demand) | demand.isin(rules.CERTAIN_DEMANDS)).alias("revision_demand"),
-        field("revision_need_type").alias("revision_need_type"),
-        v.to_share(field("standard_revision_priority_score")).alias("standard_revision_priority_score"),
-        F.explode(standards).alias("standard"),
-        *[F.col(name).alias(f"order_{i}") for i, name in enumerate(order_by)],
-    )
-    return base.select("standard.*", *[c for c in base.columns if c != "standard"])
+    row_name = F.concat(F.lit("row_"), F.col("order_0").cast("string"))
+    shaped = read.withColumns(
+        {
+            "standard": F.when((id_ != "") | (name != ""), F.array(own)).otherwise(listed),
+            "problem_id": F.when(F.col("problem_id") != "", F.col("problem_id")).otherwise(row_name),
+            "kg_clause_title": F.when(F.col("kg_clause_id") != "", F.col("kg_clause_title")).otherwise(""),
+            "need_review": v.is_demand(F.col("need_review")),
+            "revision_demand": v.is_demand(demand) | demand.isin(rules.CERTAIN_DEMANDS),
+        }
+    ).drop("kg_standard_id", "kg_standard_name", "kg_standard_refs")
+    rows = shaped.withColumn("standard", F.explode("standard"))
+    return rows.select("standard.*", *[c for c in rows.columns if c != "standard"])
 
 
 def low_confidence() -> Column:

@@ -12,43 +12,47 @@ from clausewise import rules
 from clausewise.functions import values as v
 
 
-def need_columns(
+def with_need(
+    df: DataFrame,
     text: Column,
     matched: Column,
     status: Column,
     revision_rules: Sequence[Mapping] = tuple(rules.REVISION_RULES),
-) -> dict[str, Column]:
-    """revision_need, revision_need_type and the bare reason, by the first rule that holds."""
-    status = F.coalesce(status, F.lit(""))
+) -> DataFrame:
+    """Add revision_need, revision_need_type and bare_reason, by the first rule that holds."""
+    df = df.withColumns({"_text": text, "_matched": matched, "_status": F.coalesce(status, F.lit(""))})
 
     def holds(test: Mapping) -> Column:
         parts = []
         if "all" in test:
-            parts.append(v.contains_all(text, test["all"]))
+            parts.append(v.contains_all(F.col("_text"), test["all"]))
         if "any" in test:
-            parts.append(v.contains_any(text, test["any"]))
+            parts.append(v.contains_any(F.col("_text"), test["any"]))
         if "status" in test:
-            parts.append(status.isin(list(test["status"])))
+            parts.append(F.col("_status").isin(list(test["status"])))
         return reduce(Column.__and__, parts)
 
-    def reason(template: str) -> Column:
-        return F.replace(F.lit(template), F.lit("{status}"), status) if "{status}" in template else F.lit(template)
+    # The number of the outcome first: the texts are searched once, for it alone.
+    outcomes = [
+        {**rules.REVISION_UNMATCHED, "needed": False},
+        *revision_rules,
+        {**rules.REVISION_OTHERWISE, "needed": False},
+    ]
+    number = F.when(~F.col("_matched"), 0)
+    for i, rule in enumerate(revision_rules, start=1):
+        number = number.when(reduce(Column.__or__, map(holds, rule["tests"])), i)
+    df = df.withColumn("_outcome", number.otherwise(len(outcomes) - 1))
 
-    outcome = _outcome(rules.REVISION_OTHERWISE["need"], False, F.lit(rules.REVISION_OTHERWISE["reason"]))
-    for rule in reversed(revision_rules):
-        hit = reduce(Column.__or__, map(holds, rule["tests"]))
-        outcome = F.when(hit, _outcome(rule["need"], rule["needed"], reason(rule["reason"]))).otherwise(outcome)
-    unmatched = _outcome(rules.REVISION_UNMATCHED["need"], False, F.lit(rules.REVISION_UNMATCHED["reason"]))
-    outcome = F.when(matched, outcome).otherwise(unmatched)
-    return {
-        "revision_need": outcome["needed"],
-        "revision_need_type": outcome["need"],
-        "bare_reason": outcome["reason"],
-    }
+    def pick(part: str) -> Column:
+        return F.get(F.array(*[F.lit(outcome[part]) for outcome in outcomes]), F.col("_outcome"))
 
-
-def _outcome(need: str, needed: bool, reason: Column) -> Column:
-    return F.struct(F.lit(need).alias("need"), F.lit(needed).alias("needed"), reason.alias("reason"))
+    return df.withColumns(
+        {
+            "revision_need": pick("needed"),
+            "revision_need_type": pick("need"),
+            "bare_reason": F.replace(pick("reason"), F.lit("{status}"), F.col("_status")),
+        }
+    ).drop("_text", "_matched", "_status", "_outcome")
 
 
 def label_of(score: Column, thresholds: Mapping[str, float]) -> Column:
@@ -67,7 +71,7 @@ def revision_priority(
     """Priority in 0..1; standards on their way out lift needed revisions to a floor."""
     w = priority_rules["weights"]
     label = v.first_filled(df, ["priority_label"])
-    given = F.coalesce(v.to_number(F.col("priority_score")), F.lit(0.0)) if "priority_score" in df.columns else F.lit(0.0)
+    given = F.coalesce(v.number_in(df, "priority_score"), F.lit(0.0))
     by_label = v.mapped(label, priority_rules["label_scores"], priority_rules["label_default"])
     level = v.first_filled(df, rules.LINK_ALIASES["level"])
     score = (
@@ -83,36 +87,31 @@ def revision_priority(
     return F.when(lagging, F.greatest(score, F.lit(priority_rules["lagging_floor"]))).otherwise(score)
 
 
-def revision_columns(
+def with_revision(
     df: DataFrame,
     matched: Column,
     status: Column,
     evidence: Column,
     match_score: Column,
     revision_rules: Sequence[Mapping] = tuple(rules.REVISION_RULES),
-) -> dict[str, Column]:
-    """The five revision columns of an issue and its best match.
-
-    ``df`` only tells which issue columns exist.
-    """
-    need = need_columns(v.joined_filled(df, rules.REVISION_TEXT_FIELDS), matched, status, revision_rules)
-    score = revision_priority(df, need["revision_need"], match_score, status)
+) -> DataFrame:
+    """Add the five revision columns of issues that come with their best match."""
+    text = v.joined_filled(df, rules.REVISION_TEXT_FIELDS)
     shown = F.when(matched, F.coalesce(evidence, F.lit(""))).otherwise("")
-    reason = F.when(
-        shown != "",
-        F.concat(
-            need["bare_reason"],
-            F.lit(rules.REVISION_EVIDENCE),
-            F.substring(shown, 1, rules.EVIDENCE_CHARS),
-        ),
-    ).otherwise(need["bare_reason"])
-    return {
-        "revision_need": need["revision_need"],
-        "revision_need_type": need["revision_need_type"],
-        "revision_priority_score": score,
-        "revision_priority_label": label_of(score, rules.REVISION_PRIORITY_RULES["label_thresholds"]),
-        "revision_reason": reason,
-    }
+    df = with_need(df, text, matched, status, revision_rules).withColumns(
+        {
+            "revision_priority_score": revision_priority(df, F.col("revision_need"), match_score, status),
+            "_shown": F.substring(shown, 1, rules.EVIDENCE_CHARS),
+        }
+    )
+    reason = F.concat(
+        F.col("bare_reason"),
+        F.when(F.col("_shown") != "", F.concat(F.lit(rules.REVISION_EVIDENCE), F.col("_shown"))).otherwise(""),
+    )
+    cuts = rules.REVISION_PRIORITY_RULES["label_thresholds"]
+    return df.withColumns(
+        {"revision_priority_label": label_of(F.col("revision_priority_score"), cuts), "revision_reason": reason}
+    ).drop("bare_reason", "_shown")
 
 
 def relation_of(matched: Column, need: Column, status: Column) -> Column:
@@ -133,7 +132,7 @@ def standard_report(
 ) -> DataFrame:
     """Counts, means, score, label and examples per standard reference, best first."""
     numbers = {
-        name: F.coalesce(v.to_number(F.col(name)), F.lit(0.0)) if name in enriched.columns else F.lit(0.0)
+        name: F.coalesce(v.number_in(enriched, name), F.lit(0.0))
         for name in ("priority_score", "revision_priority_score", "kg_match_score")
     }
     rows = enriched.select(
