@@ -57,7 +57,9 @@ def with_tokens(df: DataFrame, texts: Mapping[str, Column], n: int = 2) -> DataF
     Done in steps, so that every text is cleaned once however often the later
     steps refer to it.
     """
-    df = df.withColumns({f"_{name}_low": F.lower(v.clean(c)) for name, c in texts.items()})
+    df = df.withColumns({f"_{name}_low": c for name, c in texts.items()})
+    df = v.with_filled(df, [f"_{name}_low" for name in texts])
+    df = df.withColumns({f"_{name}_low": F.lower(F.coalesce(f"_{name}_low", F.lit(""))) for name in texts})
     short = {
         f"_{name}_clean": F.regexp_replace(
             F.regexp_replace(F.col(f"_{name}_low"), DOTTED_NUMBER, ""), NOT_WORD, ""

@@ -26,7 +26,17 @@ NUMERIC = {"tinyint", "smallint", "int", "bigint", "float", "double"}
 
 
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(BLANKS))
+    """Text without blanks around it.
+
+    Most texts have none, so both ends are looked at first: everything up to
+    the blank and from U+007F to U+3000 may need the full trim.
+    """
+
+    def suspect(end: Column) -> Column:
+        return ~(((end > " ") & (end < "\x7f")) | (end > "\u3000"))
+
+    needed = suspect(F.substring(c, 1, 1)) | suspect(F.substring(c, -1, 1))
+    return F.when(needed, F.btrim(c, F.lit(BLANKS))).otherwise(c)
 
 
 def text_of(c: Column) -> Column:
@@ -34,13 +44,42 @@ def text_of(c: Column) -> Column:
     return strip(F.coalesce(c.cast("string"), F.lit("")))
 
 
-def filled(c: Column) -> Column:
-    """Value as stripped text, or null when it is empty or an empty word."""
-    stripped = strip(c.cast("string"))
+def _unless_empty(stripped: Column) -> Column:
     # The words have at most four letters, so five are enough to tell them.
     return F.when(~F.lower(F.substring(stripped, 1, 5)).isin("", *rules.EMPTY_WORDS), stripped)
 
 
+def filled(c: Column) -> Column:
+    """Value as stripped text, or null when it is empty or an empty word."""
+    return _unless_empty(strip(c.cast("string")))
+
+
+def with_filled(df: DataFrame, names: Iterable[str], prefix: str = "") -> DataFrame:
+    """The named columns (those that exist) as filled text or null.
+
+    Two steps, so that every column is stripped once however many fields read
+    it.  With a prefix the originals stay and copies are added.
+    """
+    present = [name for name in dict.fromkeys(names) if name in df.columns]
+    df = df.withColumns({prefix + name: strip(F.col(f"`{name}`").cast("string")) for name in present})
+    return df.withColumns({prefix + name: _unless_empty(F.col(f"`{prefix}{name}`")) for name in present})
+
+
+def _found(df: DataFrame, names: Iterable[str], prefix: str) -> list[Column]:
+    return [F.col(f"`{prefix}{name}`") for name in names if prefix + name in df.columns]
+
+
+def first_of(df: DataFrame, names: Iterable[str], default: str = "", prefix: str = "") -> Column:
+    """First value among the existing columns of a frame that went through ``with_filled``."""
+    return F.coalesce(*_found(df, names, prefix), F.lit(default))
+
+
+def joined_of(df: DataFrame, names: Iterable[str], sep: str = " ", prefix: str = "") -> Column:
+    """The same for all values, joined; nulls vanish."""
+    found = _found(df, names, prefix)
+    return F.concat_ws(sep, *found) if found else F.lit("")
+
+
 def clean(c: Column) -> Column:
     """Like ``filled`` with '' in place of null."""
     return F.coalesce(filled(c), F.lit(""))
@@ -94,10 +133,9 @@ def is_numeric(df: DataFrame, name: str) -> bool:
 
 
 def to_share(c: Column) -> Column:
-    """Share in 0..1: 85%, 85 and 0.85 are all 0.85, junk is 0."""
-    text = clean(c)
-    number = to_number(F.replace(text, F.lit("%"), F.lit("")))
-    number = number / F.when(text.contains("%"), 100.0).otherwise(1.0)
+    """Share in 0..1 of a stripped text: 85%, 85 and 0.85 are all 0.85, junk is 0."""
+    number = F.regexp_extract(F.replace(c, F.lit("%"), F.lit("")), NUMBER, 0).try_cast("double")
+    number = number / F.when(c.contains("%"), 100.0).otherwise(1.0)
     return F.coalesce(_share(number), F.lit(0.0))
 
 
@@ -106,14 +144,15 @@ def _share(number: Column) -> Column:
 
 
 def first_share(df: DataFrame, names: Iterable[str]) -> Column:
-    """Share of the first filled column among those that exist; 0 without any."""
+    """Share of the first filled column among those that exist; 0 without any.
+
+    Text columns must have gone through ``with_filled``.
+    """
     parts = []
     for name in (n for n in names if n in df.columns):
-        if is_numeric(df, name):
-            parts.append(_share(number_in(df, name)))
-        else:
-            c = F.col(f"`{name}`")
-            parts.append(F.when(filled(c).isNotNull(), to_share(c)))
+        c = F.col(f"`{name}`")
+        share = _share(number_in(df, name)) if is_numeric(df, name) else to_share(c)
+        parts.append(F.when(c.isNotNull(), share))
     return F.coalesce(*parts, F.lit(0.0))
 
 
@@ -123,18 +162,17 @@ def is_flag(c: Column) -> Column:
 
 
 def is_demand(c: Column) -> Column:
-    """Boolean words in both languages, and texts that name a demand."""
-    text = F.lower(clean(c))
+    """Boolean words in both languages, and texts that name a demand; of stripped text."""
+    text = F.lower(c)
     return text.isin(rules.DEMAND_WORDS) | contains_any(text, rules.DEMAND_PARTS)
 
 
 def severity_rank(c: Column) -> Column:
-    """3 high, 2 medium high, 1 other, 0 empty."""
-    text = clean(c)
+    """3 high, 2 medium high, 1 other, 0 empty; of stripped text."""
     return (
-        F.when(contains_any(text, rules.HIGH_SEVERITY_WORDS), 3)
-        .when(contains_any(text, rules.MEDIUM_SEVERITY_WORDS), 2)
-        .when(text != "", 1)
+        F.when(contains_any(c, rules.HIGH_SEVERITY_WORDS), 3)
+        .when(contains_any(c, rules.MEDIUM_SEVERITY_WORDS), 2)
+        .when(c != "", 1)
         .otherwise(0)
     )
 

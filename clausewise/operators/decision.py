@@ -72,12 +72,13 @@ def with_priority(df: DataFrame, priority_rules: Mapping = rules.PRIORITY_RULES)
     w, repeats = priority_rules["weights"], priority_rules["repeat_thresholds"]
     levels = ["pred_level", "final_level", "issue_level", "predicted_label", "label"]
     categories = ["pred_category", "final_category", "issue_category"]
-    df = df.withColumns(
-        {
-            "_level": v.first_filled(df, levels, rules.UNKNOWN),
-            "_category": v.first_filled(df, categories, rules.UNKNOWN),
-            "_device": v.first_filled(df, ["device_type"], rules.DEVICE_DEFAULT),
-        }
+    columns = df.columns
+    df = v.with_filled(df, [*levels, *categories, "device_type"], prefix="_f_")
+    df = df.select(
+        *columns,
+        v.first_of(df, levels, rules.UNKNOWN, prefix="_f_").alias("_level"),
+        v.first_of(df, categories, rules.UNKNOWN, prefix="_f_").alias("_category"),
+        v.first_of(df, ["device_type"], rules.DEVICE_DEFAULT, prefix="_f_").alias("_device"),
     )
     level, category, device = F.col("_level"), F.col("_category"), F.col("_device")
 
@@ -163,18 +164,24 @@ def decide(
     return with_advice(df, rules.merged(rules.SUGGESTION_RULES, suggestion_rules))
 
 
+LABEL_FIELDS = ["review_status", "reviewed_label", "final_label", "label", "predicted_label"]
+
+
 def confirmed_label_columns(df: DataFrame) -> dict[str, Column]:
-    """Final label, where it comes from, and whether anyone reviewed it."""
-    status = F.lower(v.first_filled(df, ["review_status"]))
-    reviewed = v.first_filled(df, ["reviewed_label"])
+    """Final label, where it comes from, and whether anyone reviewed it.
+
+    The label fields must have gone through ``with_filled``.
+    """
+    status = F.lower(v.first_of(df, ["review_status"]))
+    reviewed = v.first_of(df, ["reviewed_label"])
     by_hand = status.isin("accepted", "corrected") & (reviewed != "")
     return {
         "final_confirmed_label": F.when(by_hand, reviewed).otherwise(
-            v.first_filled(df, ["final_label", "label", "predicted_label"])
+            v.first_of(df, ["final_label", "label", "predicted_label"])
         ),
         "label_source": F.when(by_hand, "manual")
-        .when(v.first_filled(df, ["predicted_label"]) != "", "model")
-        .when(v.first_filled(df, ["label"]) != "", "dataset")
+        .when(v.first_of(df, ["predicted_label"]) != "", "model")
+        .when(v.first_of(df, ["label"]) != "", "dataset")
         .otherwise(""),
         "is_reviewed": ~status.isin("", "pending"),
     }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clausewise import rules
 from clausewise.functions import values as v
-from clausewise.operators.decision import confirmed_label_columns
+from clausewise.operators.decision import LABEL_FIELDS, confirmed_label_columns
 
 # ---------------------------------------------------------------- fixed values
 # Exported columns that are read through an alias list.
@@ -66,16 +66,15 @@ NODE_COLUMNS = ["node_id", "node_type", "name", "standard_no", "status", "clause
 EDGE_COLUMNS = ["edge_id", "source_id", "target_id", "relation_type", "confidence", "relation_reason"]
 
 
-def _issue_labels(df: DataFrame, role: str) -> tuple[Column, Column]:
+def _issue_labels(df: DataFrame, role: str) -> dict[str, Column]:
     """Category and level of an issue; the confirmed label stands in for the one in its role."""
     final = confirmed_label_columns(df)["final_confirmed_label"]
-    category = v.filled(v.first_filled(df, RECORD_ALIASES["issue_category"]))
-    level = v.filled(v.first_filled(df, RECORD_ALIASES["issue_level"]))
-    blank = F.lit("")
-    return (
-        F.coalesce(category, final if role == "category" else blank),
-        F.coalesce(level, final if role == "level" else blank),
-    )
+
+    def label(name: str, own: str) -> Column:
+        found = v.first_of(df, RECORD_ALIASES[name])
+        return F.when(found != "", found).otherwise(final) if role == own else found
+
+    return {"issue_category": label("issue_category", "category"), "issue_level": label("issue_level", "level")}
 
 
 def _node(id_: Column, kind: str, name: Column, text: Column | None = None) -> Column:
@@ -102,20 +101,29 @@ NESTED_FIELDS = [
     "issue_id", "issue_text", "device_type", "specialty", "kg_standard_id", "kg_standard_name",
     "kg_clause_id", "kg_clause_title", "kg_relation_confidence",
 ]
+READ_FIELDS = [
+    *RECORD_COLUMNS[:-2], *RELATION_REASONS, *LABEL_FIELDS,
+    *[name for names in RECORD_ALIASES.values() for name in names],
+]
 
 
 def with_nested_graph(df: DataFrame, role: str = "level") -> DataFrame:
-    """Add graph_nodes and graph_edges of each issue as JSON arrays."""
-    category, level = _issue_labels(df, role)
-    found = {f"_{name}": v.first_filled(df, RECORD_ALIASES[name]) for name in NESTED_FIELDS}
-    found |= {
-        "_category": category,
-        "_level": level,
-        "_reason": v.first_filled(df, RELATION_REASONS),
-        "_refs": v.first_filled(df, ["kg_standard_refs"]),
-    }
+    """Add graph_nodes and graph_edges of each issue as JSON arrays.
+
+    The fields they are made of come back as filled text.
+    """
     columns = df.columns
-    df = df.withColumns(found)
+    df = v.with_filled(df, READ_FIELDS)
+    labels = _issue_labels(df, role)
+    df = df.withColumns(
+        {
+            **{f"_{name}": v.first_of(df, RECORD_ALIASES[name]) for name in NESTED_FIELDS},
+            "_category": labels["issue_category"],
+            "_level": labels["issue_level"],
+            "_reason": v.first_of(df, RELATION_REASONS),
+            "_refs": v.first_of(df, ["kg_standard_refs"]),
+        }
+    )
     first = lambda name: F.col(f"_{name}")
     some = lambda a, b: F.when(a != "", a).otherwise(b)
     df = df.withColumn("_problem", some(first("issue_id"), v.hashed_id("problem", first("issue_text"))))
@@ -182,17 +190,15 @@ def with_nested_graph(df: DataFrame, role: str = "level") -> DataFrame:
 
 def graph_records(df: DataFrame, role: str = "level") -> DataFrame:
     """One row of 49 columns per issue."""
-    category, level = _issue_labels(df, role)
+    df = with_nested_graph(df.drop("graph_nodes", "graph_edges"), role)
     own = {
-        "issue_category": category,
-        "issue_level": level,
+        **_issue_labels(df, role),
         **confirmed_label_columns(df),
+        **{name: F.col(name) for name in ("graph_nodes", "graph_edges")},
     }
-    df = with_nested_graph(df.drop("graph_nodes", "graph_edges"), role)
-    own |= {name: F.col(name) for name in ("graph_nodes", "graph_edges")}
 
     def value(name: str) -> Column:
-        return own[name] if name in own else v.first_filled(df, RECORD_ALIASES.get(name, [name]))
+        return own[name] if name in own else v.first_of(df, RECORD_ALIASES.get(name, [name]))
 
     return df.select(*[value(name).alias(name) for name in RECORD_COLUMNS])
 
@@ -203,10 +209,11 @@ def _prefixed(prefix: str, c: Column) -> Column:
 
 def _table_ids(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """What nodes and edges are made of, ids built once per issue."""
-    first = lambda name: v.first_filled(df, TABLE_ALIASES[name])
+    df = df.withColumns({f"order_{i}": F.col(name) for i, name in enumerate(order_by)})
+    df = v.with_filled(df, [name for names in TABLE_ALIASES.values() for name in names])
     found = df.select(
-        *[F.col(name).alias(f"order_{i}") for i, name in enumerate(order_by)],
-        *[first(name).alias(name) for name in TABLE_ALIASES],
+        *[f"order_{i}" for i in range(len(order_by))],
+        *[v.first_of(df, names).alias(name) for name, names in TABLE_ALIASES.items()],
     )
     problem = F.when(F.col("problem") != "", F.col("problem")).otherwise(v.hashed_id("problem", F.col("text")))
     some = lambda name, c: F.when(F.col(name) != "", c).otherwise("")

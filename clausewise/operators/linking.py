@@ -97,24 +97,23 @@ def with_equipment(
 # ------------------------------------------------------- features of each side
 
 
-def issue_level(df: DataFrame) -> Column:
-    return v.first_filled(df, rules.LINK_ALIASES["level"])
-
-
 def issue_features(
     issues: DataFrame, id_col: str, stage_aliases: Mapping[str, str] | None = None
 ) -> DataFrame:
     """What the score needs of an issue, texts prepared.  ``equipment`` must be there."""
-    read = issues.select(
+    names = rules.LINK_ALIASES
+    used = [*names["text"], *names["category"], *names["stage"], *names["level"], *rules.OPINION_FIELDS]
+    filled = v.with_filled(issues, [*used, "checkpoint_text", "rule_name"])
+    read = filled.select(
         id_col,
         "equipment",
-        v.first_filled(issues, rules.LINK_ALIASES["text"]).alias("issue_text"),
-        v.first_filled(issues, rules.LINK_ALIASES["category"]).alias("category"),
-        v.first_filled(issues, ["checkpoint_text"]).alias("_checkpoint"),
-        v.joined_filled(issues, rules.OPINION_FIELDS).alias("_opinion"),
-        v.first_filled(issues, ["rule_name"]).alias("_rule"),
-        v.first_filled(issues, rules.LINK_ALIASES["stage"]).alias("_stage"),
-        issue_level(issues).alias("level"),
+        v.first_of(filled, names["text"]).alias("issue_text"),
+        v.first_of(filled, names["category"]).alias("category"),
+        v.first_of(filled, ["checkpoint_text"]).alias("_checkpoint"),
+        v.joined_of(filled, rules.OPINION_FIELDS).alias("_opinion"),
+        v.first_of(filled, ["rule_name"]).alias("_rule"),
+        v.first_of(filled, names["stage"]).alias("_stage"),
+        v.first_of(filled, names["level"]).alias("level"),
     )
     texts = {
         "issue": F.col("issue_text"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clausewise.functions import values as v
+from clausewise.session import materialise
 
 BLOCK_BITS = 20
 
@@ -16,20 +17,21 @@ def number_rows(df: DataFrame, order_col: str, out: str = "row_no", bits: int =
     Rows are cut into blocks of 2**bits consecutive order values, so a block
     can never hold more rows than that whatever the data looks like.  Blocks
     are numbered on their own and shifted by the row counts of earlier blocks;
-    only those counts, one per block, meet in one task.
+    only those counts, one per block, meet in one task.  All of it works on
+    the order column alone; the rows themselves are joined once at the end.
     """
     block = F.shiftright(F.col(order_col).cast("bigint"), bits)
-    counts = df.select(block.alias("_block")).groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
+    thin = materialise(df.select(F.col(order_col), block.alias("_block")))
+    counts = thin.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     inside = F.row_number().over(Window.partitionBy("_block").orderBy(F.col(order_col)))
-    return (
-        df.withColumn("_block", block)
-        .withColumn("_inside", inside)
+    numbers = (
+        thin.withColumn("_inside", inside)
         .join(starts, "_block")
-        .withColumn(out, (F.col("_start") + F.col("_inside")).cast("bigint"))
-        .drop("_block", "_inside", "_start")
+        .select(order_col, (F.col("_start") + F.col("_inside")).cast("bigint").alias(out))
     )
+    return numbers if df.columns == [order_col] else df.join(numbers, order_col)
 
 
 def padded_id(prefix: str, number: Column) -> Column:

@@ -18,9 +18,22 @@ FOLD = [*GROUP, *DIMENSIONS, "kg_relation_type", "revision_need_type", "standard
 REPRESENTATIVES = 3
 
 
+def with_aliases(
+    df: DataFrame, fields: Sequence[str], aliases: Mapping[str, Sequence[str]] = rules.FIELD_ALIASES
+) -> DataFrame:
+    """The alias columns of the fields as filled text; numbers stay numbers."""
+    names = [name for f in fields for name in aliases.get(f, [f]) if name in df.columns]
+    return v.with_filled(df, [name for name in names if not v.is_numeric(df, name)])
+
+
 def resolve(df: DataFrame, field: str, aliases: Mapping[str, Sequence[str]] = rules.FIELD_ALIASES) -> Column:
-    """A logical field: the first filled value among its alias columns."""
-    return v.first_filled(df, aliases.get(field, [field]))
+    """A logical field as text: the first filled value among its alias columns.
+
+    The frame must have gone through ``with_aliases``.
+    """
+    names = [name for name in aliases.get(field, [field]) if name in df.columns]
+    values = [v.filled(F.col(name)) if v.is_numeric(df, name) else F.col(f"`{name}`") for name in names]
+    return F.coalesce(*values, F.lit(""))
 
 
 def resolve_fields(
@@ -29,6 +42,7 @@ def resolve_fields(
     aliases: Mapping[str, Sequence[str]] = rules.FIELD_ALIASES,
     keep: Sequence[str] = (),
 ) -> DataFrame:
+    df = with_aliases(df, fields, aliases)
     return df.select(*keep, *[resolve(df, field, aliases).alias(field) for field in fields])
 
 
@@ -48,6 +62,7 @@ def missing_field_report(
 ) -> DataFrame:
     """Per required field: is it missing, and how many rows count as empty."""
     missing = set(missing_fields(df.columns, required, aliases))
+    df = with_aliases(df, required, aliases)
     totals = df.agg(*[F.count_if(resolve(df, f, aliases) == "").alias(f) for f in required])
     rows = [
         F.struct(F.lit(f).alias("field"), F.lit(f in missing).alias("missing"), F.col(f).alias("empty_rows"))
@@ -73,8 +88,10 @@ def expand(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
         "category_confidence", "severity_confidence", "kg_relation_confidence",
         "standard_revision_priority_score",
     ]
+    ordered = df.withColumns({f"order_{i}": F.col(name) for i, name in enumerate(order_by)})
+    df = with_aliases(ordered, [*texts, *shares])
     read = df.select(
-        *[F.col(name).alias(f"order_{i}") for i, name in enumerate(order_by)],
+        *[f"order_{i}" for i in range(len(order_by))],
         *[resolve(df, name).alias(name) for name in texts],
         *[v.first_share(df, rules.FIELD_ALIASES[name]).alias(name) for name in shares],
     )

@@ -96,7 +96,10 @@ def with_revision(
     revision_rules: Sequence[Mapping] = tuple(rules.REVISION_RULES),
 ) -> DataFrame:
     """Add the five revision columns of issues that come with their best match."""
-    text = v.joined_filled(df, rules.REVISION_TEXT_FIELDS)
+    columns = df.columns
+    df = v.with_filled(df, rules.REVISION_TEXT_FIELDS, prefix="_f_")
+    df = df.select(*columns, v.joined_of(df, rules.REVISION_TEXT_FIELDS, prefix="_f_").alias("_whole"))
+    text = F.col("_whole")
     shown = F.when(matched, F.coalesce(evidence, F.lit(""))).otherwise("")
     df = with_need(df, text, matched, status, revision_rules).withColumns(
         {
@@ -111,7 +114,7 @@ def with_revision(
     cuts = rules.REVISION_PRIORITY_RULES["label_thresholds"]
     return df.withColumns(
         {"revision_priority_label": label_of(F.col("revision_priority_score"), cuts), "revision_reason": reason}
-    ).drop("bare_reason", "_shown")
+    ).drop("bare_reason", "_shown", "_whole")
 
 
 def relation_of(matched: Column, need: Column, status: Column) -> Column:

@@ -44,7 +44,8 @@ def split_stratified(
 
     Rows are ordered at random by the hash of seed and id.  No label is ever
     sorted as a whole: rows are ranked inside (label, first hash digits) and
-    shifted by the counts of the earlier buckets, which hash evenly.
+    shifted by the counts of the earlier buckets, which hash evenly.  Only ids
+    and labels take part; wide rows are joined once at the end.
     """
     if round(train + valid + test, 6) != 1.0:
         raise ValueError("train + valid + test must be 1")
@@ -53,7 +54,8 @@ def split_stratified(
         labels = df.groupBy(label_field).agg(count.alias("n")).agg(count.alias("k"), F.min("n").alias("low")).first()
         stratify = labels["k"] >= 2 and labels["low"] >= 2
     mark = F.sha1(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")).cast("binary"))
-    marked = df.withColumns(
+    thin = df.select(id_col, label_field)
+    marked = thin.withColumns(
         {"stratum": F.col(label_field).cast("string") if stratify else F.lit(""), "_mark": mark}
     ).withColumn("_bucket", F.substring("_mark", 1, digits))
     buckets = marked.groupBy("stratum", "_bucket").agg(count.alias("n"))
@@ -69,7 +71,7 @@ def split_stratified(
     sizes = _shared_out(sizes, "_rest", F.floor(valid / (valid + test) * rest), "_valid")
     inside = F.row_number().over(Window.partitionBy("stratum", "_bucket").orderBy("_mark", id_col))
     place = F.col("_start") + F.col("_inside")
-    return (
+    placed = (
         marked.withColumn("_inside", inside)
         .join(starts, ["stratum", "_bucket"])
         .join(sizes.select("stratum", "_train", "_valid"), "stratum")
@@ -79,8 +81,11 @@ def split_stratified(
             .when(place <= F.col("_train") + F.col("_valid"), "valid")
             .otherwise("test"),
         )
-        .select(*df.columns, "split")
+        .select(*thin.columns, "split")
     )
+    if set(df.columns) == set(thin.columns):
+        return placed
+    return df.join(placed.select(id_col, "split"), id_col)
 
 
 def digest(df: DataFrame) -> str:

@@ -548,7 +548,7 @@ def final_label(spark, sf):
         F.when(F.col("row_pos") % 5 == 0, "nan").otherwise(F.col("label")).alias("label"),
         F.when(F.col("row_pos") % 2 == 0, F.col("specialty")).alias("predicted_label"),
     )
-    df = docs.join(last, "sample_id", "left")
+    df = v.with_filled(docs.join(last, "sample_id", "left"), decision.LABEL_FIELDS)
     return flags_as_text(df.select("sample_id", *[c.alias(n) for n, c in decision.confirmed_label_columns(df).items()]))
 
 

@@ -12,11 +12,15 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clausewise.sources.tables import spread
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
+FACTS = {"lineitem", "documents"}
+
 VIEWS = {
     # Order lines as issues that are linked to standards and clauses already.
     "linked_issues": """
@@ -229,7 +233,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in FACTS else df
 
 
 def sql_of(name: str) -> str:

@@ -58,3 +58,12 @@ def write_table(df: DataFrame, path: str, file_type: str | None = None) -> str:
 def with_position(df: DataFrame, out: str = "row_pos") -> DataFrame:
     """File position as a unique growing number, the order that 'first' and 'last' refer to."""
     return df.withColumn(out, F.monotonically_increasing_id())
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a table that comes in fewer pieces than there are cores.
+
+    Large tables come in many pieces and pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
