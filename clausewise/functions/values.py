@@ -17,26 +17,32 @@ from clausewise import rules
 BLANK_CODES = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
                0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 BLANKS = "".join(map(chr, BLANK_CODES))
+# The leading range lets plain letters fail after two comparisons.
 BLANK_RUN = (
-    r"[ \t\n\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+    r"[\x09-\x{3000}&&[^\x21-\x7F]&&[ \t\n\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]]+"
 )
 NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 NUMERIC = {"tinyint", "smallint", "int", "bigint", "float", "double"}
 
 
 def strip(c: Column) -> Column:
-    """Text without blanks around it.
+    """Text without blanks around it."""
+    return F.btrim(c, F.lit(BLANKS))
 
-    Most texts have none, so both ends are looked at first: everything up to
-    the blank and from U+007F to U+3000 may need the full trim.
+
+def _strip_column(c: Column) -> Column:
+    """The same for a plain column, which may stand in an expression several times.
+
+    Most texts have no blanks around them, so both ends are looked at first:
+    everything up to the blank and from U+007F to U+3000 may need the full trim.
     """
 
     def suspect(end: Column) -> Column:
         return ~(((end > " ") & (end < "\x7f")) | (end > "\u3000"))
 
     needed = suspect(F.substring(c, 1, 1)) | suspect(F.substring(c, -1, 1))
-    return F.when(needed, F.btrim(c, F.lit(BLANKS))).otherwise(c)
+    return F.when(needed, strip(c)).otherwise(c)
 
 
 def text_of(c: Column) -> Column:
@@ -61,7 +67,7 @@ def with_filled(df: DataFrame, names: Iterable[str], prefix: str = "") -> DataFr
     it.  With a prefix the originals stay and copies are added.
     """
     present = [name for name in dict.fromkeys(names) if name in df.columns]
-    df = df.withColumns({prefix + name: strip(F.col(f"`{name}`").cast("string")) for name in present})
+    df = df.withColumns({prefix + name: _strip_column(F.col(f"`{name}`").cast("string")) for name in present})
     return df.withColumns({prefix + name: _unless_empty(F.col(f"`{prefix}{name}`")) for name in present})
 
 

@@ -24,28 +24,43 @@ def rename_issues(
     return raw.select(*keep, *[F.col(f"`{old}`").alias(new) for old, new in columns.items()])
 
 
+def one_line(c: Column) -> Column:
+    """Blanks of all kinds as single spaces, none at the ends; null is ''."""
+    return F.trim(F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), v.BLANK_RUN, " "))
+
+
+def known(line: Column) -> Column:
+    """Text of one line, '' for empty words and the unknown mark."""
+    words = [*rules.EMPTY_WORDS, rules.UNKNOWN]
+    return F.when(F.lower(F.substring(line, 1, 5)).isin(words), "").otherwise(line)
+
+
 def clean_text(c: Column) -> Column:
     """One line of single blanks; empty words and the unknown mark become ''."""
-    line = v.strip(F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), v.BLANK_RUN, " "))
-    return F.when(F.lower(line).isin(*rules.EMPTY_WORDS, rules.UNKNOWN), "").otherwise(line)
+    return known(one_line(c))
 
 
-def clean_date(c: Column, formats: Sequence[str] = rules.DATE_FORMATS) -> Column:
-    """Date as yyyy-MM-dd; what is no date in any format keeps its cleaned text."""
-    line = clean_text(c)
+def date_of(line: Column, formats: Sequence[str] = tuple(rules.DATE_FORMATS)) -> Column:
+    """Date as yyyy-MM-dd; what is no date in any format stays as it is."""
     parsed = F.coalesce(*[F.try_to_timestamp(line, F.lit(form)) for form in formats])
     return F.coalesce(F.date_format(parsed, "yyyy-MM-dd"), line)
 
 
-def clean_columns(
-    df: DataFrame, texts: Sequence[str], dates: Sequence[str] = ()
-) -> DataFrame:
-    changed = {name: clean_text(F.col(name)) for name in texts}
-    return df.withColumns(changed | {name: clean_date(F.col(name)) for name in dates})
+def clean_columns(df: DataFrame, texts: Sequence[str], dates: Sequence[str] = ()) -> DataFrame:
+    """Clean text and date columns in steps, each value once per step."""
+    df = df.withColumns({name: one_line(F.col(name)) for name in [*texts, *dates]})
+    df = df.withColumns({name: known(F.col(name)) for name in [*texts, *dates]})
+    return df.withColumns({name: date_of(F.col(name)) for name in dates})
 
 
 def keep_valid(df: DataFrame, allowed: Sequence[str] = rules.LEVELS) -> DataFrame:
-    return df.filter((F.col("text") != "") & F.col("label").isin(list(allowed)))
+    """Rows with a text and an allowed label, before or after cleaning.
+
+    Whether a text is empty shows at its ends, so filtering first spares the
+    cleaning of rows that go anyway, and keeps it out of the scan's filter.
+    """
+    text = v.filled(F.col("text"))
+    return df.filter(text.isNotNull() & (text != rules.UNKNOWN) & clean_text(F.col("label")).isin(list(allowed)))
 
 
 def drop_repeats(
@@ -77,11 +92,11 @@ def prepare_issues(
     """Rename, clean, filter, drop repeats and number: the whole preparation."""
     named = rename_issues(raw, columns, keep=[order_col])
     texts = [name for name in columns.values() if name not in rules.DATE_COLUMNS]
-    ready = clean_columns(named, texts, rules.DATE_COLUMNS)
+    ready = clean_columns(keep_valid(named, allowed), texts, rules.DATE_COLUMNS)
     ready = ready.withColumns(
         {"source_unit": F.lit(rules.UNKNOWN), "data_source": F.lit(data_source)}
     )
-    return assign_ids(drop_repeats(keep_valid(ready, allowed), [order_col]), order_col)
+    return assign_ids(drop_repeats(ready, [order_col]), order_col)
 
 
 def category_of(

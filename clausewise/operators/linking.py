@@ -389,13 +389,21 @@ def enrich_issues(
     p = lambda name: F.col(f"p_{name}")
     text = lambda c: F.coalesce(c, blank())
     standard = F.get(p("standards"), F.lit(0))
-    standard_id = F.coalesce(v.filled(p("standard_id")), standard, blank())
-    standard_name = F.coalesce(v.filled(p("standard_name")), standard, blank())
-    clause_id = F.coalesce(v.filled(p("clause_id")), p("point_id"), blank())
-    clause_text = F.coalesce(v.filled(p("clause_text")), p("full_text"), blank())
-    score = F.coalesce("score", F.lit(0.0))
+    own = lambda name: F.nullif(p(name), blank())
     fallback = F.concat(F.lit("problem_"), F.col(order_col).cast("string"))
-    issue_id = F.coalesce(F.nullif(v.first_filled(issues, rules.LINK_ALIASES["issue_id"]), blank()), fallback)
+    full = v.with_filled(full, rules.LINK_ALIASES["issue_id"], prefix="_f_")
+    full = full.withColumns(
+        {
+            "_issue": F.coalesce(F.nullif(v.first_of(full, rules.LINK_ALIASES["issue_id"], prefix="_f_"), blank()), fallback),
+            "_standard": F.coalesce(own("standard_id"), standard, blank()),
+            "_standard_name": F.coalesce(own("standard_name"), standard, blank()),
+            "_clause": F.coalesce(own("clause_id"), p("point_id"), blank()),
+            "_clause_text": F.coalesce(own("clause_text"), p("full_text"), blank()),
+            "_score": F.coalesce("score", F.lit(0.0)),
+        }
+    )
+    issue_id, standard_id, standard_name = F.col("_issue"), F.col("_standard"), F.col("_standard_name")
+    clause_id, clause_text, score = F.col("_clause"), F.col("_clause_text"), F.col("_score")
     matched = F.col("kg_match_status") == "matched"
     evidence = F.concat_ws(" ", p("standards"), p("requirements"))
     full = full.drop("revision_need", "revision_need_type", "revision_priority_score")
@@ -439,7 +447,7 @@ def enrich_issues(
         "kg_standard_name": standard_name,
         "kg_clause_id": clause_id,
         "kg_clause_title": F.coalesce(
-            v.filled(p("clause_no")), F.substring(clause_text, 1, rules.TITLE_CHARS)
+            own("clause_no"), F.substring(clause_text, 1, rules.TITLE_CHARS)
         ),
         "kg_relation_type": relation,
         "kg_relation_confidence": score,

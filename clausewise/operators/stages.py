@@ -6,13 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from clausewise import rules
-from clausewise.functions import values as v
 
 
 def canonical_stage(c: Column, aliases: dict[str, str] | None = None) -> Column:
-    """Exact alias, else the first alias inside the name, else the name itself."""
+    """Exact alias, else the first alias inside the name, else the name itself.
+
+    Of a column of filled text; null is ''.
+    """
     aliases = rules.STAGE_ALIASES if aliases is None else aliases
-    text = v.clean(c)
+    text = F.coalesce(c, F.lit(""))
     inside = text
     for alias, stage in reversed(aliases.items()):
         inside = F.when(text.contains(alias), stage).otherwise(inside)

@@ -160,19 +160,20 @@ def issue_clean_date(spark, sf):
 
 
 def _cleaned(spark, sf):
+    """Valid raw issues, cleaned."""
     named = cleaning.rename_issues(view(spark, sf, "raw_issues"), keep=["row_pos"])
     texts = [name for name in rules.RAW_COLUMNS.values() if name not in rules.DATE_COLUMNS]
-    return cleaning.clean_columns(named, texts, rules.DATE_COLUMNS)
+    return cleaning.clean_columns(cleaning.keep_valid(named), texts, rules.DATE_COLUMNS)
 
 
 @query
 def issue_filter_valid(spark, sf):
-    return cleaning.keep_valid(_cleaned(spark, sf)).select("row_pos", "text", "label")
+    return _cleaned(spark, sf).select("row_pos", "text", "label")
 
 
 @query
 def issue_dedupe_first(spark, sf):
-    kept = cleaning.keep_valid(_cleaned(spark, sf)).select("row_pos", *rules.REPEAT_KEYS)
+    kept = _cleaned(spark, sf).select("row_pos", *rules.REPEAT_KEYS)
     return cleaning.drop_repeats(kept, ["row_pos"])
 
 
@@ -281,7 +282,7 @@ def primary_role_columns(spark, sf):
 
 @query
 def stage_alias(spark, sf):
-    docs = view(spark, sf, "doc_issues")
+    docs = v.with_filled(view(spark, sf, "doc_issues"), ["supervision_stage"])
     return docs.select("row_pos", canonical_stage(F.col("supervision_stage")).alias("stage"))
 
 
@@ -654,7 +655,7 @@ def clause_summary(spark, sf):
 @query
 def dataset_stats(spark, sf):
     raw = view(spark, sf, "raw_issues")
-    prepared = cleaning.drop_repeats(cleaning.keep_valid(_cleaned(spark, sf)), ["row_pos"])
+    prepared = cleaning.drop_repeats(_cleaned(spark, sf), ["row_pos"])
     return cleaning.dataset_stats(raw, prepared, ["specialty", "rule_name"])
 
 

@@ -69,38 +69,40 @@ def clauses_with_standard(clauses: DataFrame, standards: DataFrame) -> DataFrame
     return joined.na.fill("", [*STANDARD_FIELDS, "standard_equipment"])
 
 
+CLAUSE_FIELDS = ["clause_id", "clause_no", "clause_text", "equipment_type", "problem_category", "stage"]
+
+
 def points_from_library(standards: DataFrame, clauses: DataFrame) -> DataFrame:
     """One point per clause, in clause order (``point_pos``)."""
-    df = clauses_with_standard(clauses, standards)
-    text, number, clause = (_column(df, n) for n in ("clause_text", "clause_no", "clause_id"))
-    category = _column(df, "problem_category")
-    name, no, status = F.col("standard_name"), F.col("standard_no"), F.col("standard_status")
-    reference = v.joined_filled(df, ["standard_no", "standard_name", "standard_status"])
-    words = F.transform(F.coalesce(F.col("keywords"), F.array().cast("array<string>")), v.clean)
+    df = v.with_filled(clauses_with_standard(clauses, standards), CLAUSE_FIELDS)
+    df = df.withColumns({name: v.first_of(df, [name]) for name in CLAUSE_FIELDS})
+    blank_to_null = lambda name: F.nullif(F.col(name), F.lit(""))
+    none = F.array().cast("array<string>")
+    head = v.filled(F.substring("clause_text", 1, rules.LABEL_CHARS))
+    reference = F.concat_ws(" ", *[blank_to_null(n) for n in ("standard_no", "standard_name", "standard_status")])
+    words = F.transform(F.coalesce(F.col("keywords"), none), v.clean)
     return df.select(
-        F.coalesce(v.filled(clause), F.concat_ws("_", "standard_id", number)).alias("point_id"),
+        F.coalesce(blank_to_null("clause_id"), F.concat_ws("_", "standard_id", "clause_no")).alias("point_id"),
         F.col("pos").alias("point_pos"),
-        F.concat_ws(
-            " ", v.filled(number), v.filled(F.substring(text, 1, rules.LABEL_CHARS))
-        ).alias("label"),
-        text.alias("full_text"),
-        F.coalesce(v.filled(_column(df, "equipment_type")), F.col("standard_equipment")).alias("equipment"),
-        _column(df, "stage").alias("stage"),
+        F.concat_ws(" ", blank_to_null("clause_no"), head).alias("label"),
+        F.col("clause_text").alias("full_text"),
+        F.coalesce(blank_to_null("equipment_type"), F.col("standard_equipment")).alias("equipment"),
+        "stage",
         F.col("risk_level").alias("severity"),
-        category.alias("project"),
-        F.array(F.coalesce(v.filled(reference), F.col("standard_id"))).alias("standards"),
-        F.when(text != "", F.array(text)).otherwise(F.array().cast("array<string>")).alias("requirements"),
+        F.col("problem_category").alias("project"),
+        F.array(F.coalesce(F.nullif(reference, F.lit("")), F.col("standard_id"))).alias("standards"),
+        F.when(F.col("clause_text") != "", F.array("clause_text")).otherwise(none).alias("requirements"),
         "standard_id",
-        name.alias("standard_name"),
-        no.alias("standard_no"),
-        status.alias("standard_status"),
+        "standard_name",
+        "standard_no",
+        "standard_status",
         "domain",
         "risk_level",
-        clause.alias("clause_id"),
-        number.alias("clause_no"),
-        text.alias("clause_text"),
+        "clause_id",
+        "clause_no",
+        "clause_text",
         F.filter(words, lambda word: word != "").alias("keywords"),
-        category.alias("problem_category"),
+        "problem_category",
     )
 
 
@@ -175,8 +177,9 @@ def points_from_graph(
         F.sort_array(F.collect_list(F.when(kind == "GOVERNED_BY", listed))).alias("governed"),
         F.sort_array(F.collect_list(F.when(kind == "HAS_REQUIREMENT", listed))).alias("required"),
     )
-    points = nodes.filter(F.col("node_type") == point_node).join(
-        per_point, nodes["id"] == per_point["point_id"], "left"
+    own = nodes.filter(F.col("node_type") == point_node).withColumn("_stage", _column(nodes, "stage"))
+    points = own.join(
+        per_point, own["id"] == per_point["point_id"], "left"
     )
     none = F.array().cast("array<string>")
     governed = F.coalesce(F.col("governed.value"), none)
@@ -191,7 +194,7 @@ def points_from_graph(
         _column(nodes, "label").alias("label"),
         v.first_filled(nodes, ["full_text", "label"]).alias("full_text"),
         _column(nodes, "equipment").alias("equipment"),
-        canonical_stage(_column(nodes, "stage"), stage_aliases).alias("stage"),
+        canonical_stage(F.col("_stage"), stage_aliases).alias("stage"),
         F.coalesce("severity", blank).alias("severity"),
         F.coalesce("project", blank).alias("project"),
         F.filter(standards, lambda x: x != "").alias("standards"),
