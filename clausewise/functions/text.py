@@ -59,14 +59,11 @@ def with_tokens(df: DataFrame, texts: Mapping[str, Column], n: int = 2) -> DataF
     """
     df = df.withColumns({f"_{name}_low": c for name, c in texts.items()})
     df = v.with_filled(df, [f"_{name}_low" for name in texts])
-    df = df.withColumns({f"_{name}_low": F.lower(F.coalesce(f"_{name}_low", F.lit(""))) for name in texts})
-    short = {
-        f"_{name}_clean": F.regexp_replace(
-            F.regexp_replace(F.col(f"_{name}_low"), DOTTED_NUMBER, ""), NOT_WORD, ""
-        )
-        for name in texts
-    }
-    df = df.withColumns(short)
+    df = df.withColumns({f"_{name}_low": F.expr(f"lower(coalesce(_{name}_low, ''))") for name in texts})
+    short = "regexp_replace(regexp_replace(_{0}_low, r'{1}', ''), r'{2}', '')"
+    df = df.withColumns(
+        {f"_{name}_clean": F.expr(short.format(name, DOTTED_NUMBER, NOT_WORD)) for name in texts}
+    )
 
     def codes(name: str) -> Column:
         found = grams(F.col(f"_{name}_clean"), n)
@@ -76,9 +73,7 @@ def with_tokens(df: DataFrame, texts: Mapping[str, Column], n: int = 2) -> DataF
         name: F.struct(
             F.col(f"_{name}_clean").alias("clean"),
             codes(name).alias("grams"),
-            F.array_distinct(
-                F.regexp_extract_all(F.col(f"_{name}_low"), F.lit(WORD_RUN), F.lit(0))
-            ).alias("terms"),
+            F.expr(f"array_distinct(regexp_extract_all(_{name}_low, r'{WORD_RUN}', 0))").alias("terms"),
         )
         for name in texts
     }

@@ -31,18 +31,16 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
 
-def _strip_column(c: Column) -> Column:
-    """The same for a plain column, which may stand in an expression several times.
+def _strip_column(name: str) -> Column:
+    """The same for a named column, as one SQL expression.
 
     Most texts have no blanks around them, so both ends are looked at first:
     everything up to the blank and from U+007F to U+3000 may need the full trim.
     """
-
-    def suspect(end: Column) -> Column:
-        return ~(((end > " ") & (end < "\x7f")) | (end > "\u3000"))
-
-    needed = suspect(F.substring(c, 1, 1)) | suspect(F.substring(c, -1, 1))
-    return F.when(needed, strip(c)).otherwise(c)
+    text = f"CAST(`{name}` AS STRING)"
+    plain = "({0} > ' ' AND {0} < '\x7f' OR {0} > '\u3000')"
+    ends = [plain.format(f"substring({text}, {at}, 1)") for at in (1, -1)]
+    return F.expr(f"CASE WHEN NOT {ends[0]} OR NOT {ends[1]} THEN btrim({text}, '{BLANKS}') ELSE {text} END")
 
 
 def text_of(c: Column) -> Column:
@@ -55,6 +53,11 @@ def _unless_empty(stripped: Column) -> Column:
     return F.when(~F.lower(F.substring(stripped, 1, 5)).isin("", *rules.EMPTY_WORDS), stripped)
 
 
+def _unless_empty_column(name: str) -> Column:
+    words = ", ".join(f"'{word}'" for word in ["", *rules.EMPTY_WORDS])
+    return F.expr(f"CASE WHEN lower(substring(`{name}`, 1, 5)) NOT IN ({words}) THEN `{name}` END")
+
+
 def filled(c: Column) -> Column:
     """Value as stripped text, or null when it is empty or an empty word."""
     return _unless_empty(strip(c.cast("string")))
@@ -67,8 +70,8 @@ def with_filled(df: DataFrame, names: Iterable[str], prefix: str = "") -> DataFr
     it.  With a prefix the originals stay and copies are added.
     """
     present = [name for name in dict.fromkeys(names) if name in df.columns]
-    df = df.withColumns({prefix + name: _strip_column(F.col(f"`{name}`").cast("string")) for name in present})
-    return df.withColumns({prefix + name: _unless_empty(F.col(f"`{prefix}{name}`")) for name in present})
+    df = df.withColumns({prefix + name: _strip_column(name) for name in present})
+    return df.withColumns({prefix + name: _unless_empty_column(prefix + name) for name in present})
 
 
 def _found(df: DataFrame, names: Iterable[str], prefix: str) -> list[Column]:
