@@ -31,18 +31,6 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
 
-def _strip_column(name: str) -> Column:
-    """The same for a named column, as one SQL expression.
-
-    Most texts have no blanks around them, so both ends are looked at first:
-    everything up to the blank and from U+007F to U+3000 may need the full trim.
-    """
-    text = f"CAST(`{name}` AS STRING)"
-    plain = "({0} > ' ' AND {0} < '\x7f' OR {0} > '\u3000')"
-    ends = [plain.format(f"substring({text}, {at}, 1)") for at in (1, -1)]
-    return F.expr(f"CASE WHEN NOT {ends[0]} OR NOT {ends[1]} THEN btrim({text}, '{BLANKS}') ELSE {text} END")
-
-
 def text_of(c: Column) -> Column:
     """Value as text, stripped; null is ''."""
     return strip(F.coalesce(c.cast("string"), F.lit("")))
@@ -70,7 +58,8 @@ def with_filled(df: DataFrame, names: Iterable[str], prefix: str = "") -> DataFr
     it.  With a prefix the originals stay and copies are added.
     """
     present = [name for name in dict.fromkeys(names) if name in df.columns]
-    df = df.withColumns({prefix + name: _strip_column(name) for name in present})
+    stripped = {prefix + name: F.expr(f"btrim(CAST(`{name}` AS STRING), '{BLANKS}')") for name in present}
+    df = df.withColumns(stripped)
     return df.withColumns({prefix + name: _unless_empty_column(prefix + name) for name in present})
 
 
@@ -171,9 +160,8 @@ def is_flag(c: Column) -> Column:
 
 
 def is_demand(c: Column) -> Column:
-    """Boolean words in both languages, and texts that name a demand; of stripped text."""
-    text = F.lower(c)
-    return text.isin(rules.DEMAND_WORDS) | contains_any(text, rules.DEMAND_PARTS)
+    """Boolean words in both languages, and texts that name a demand; of stripped lower text."""
+    return c.isin(rules.DEMAND_WORDS) | contains_any(c, rules.DEMAND_PARTS)
 
 
 def severity_rank(c: Column) -> Column:

@@ -84,6 +84,7 @@ def expand(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
         "standard_status", "clause_no", "kg_relation_type", "revision_need_type", "need_review",
         "revision_demand",
     ]
+    words = {"need_review", "revision_demand"}
     shares = [
         "category_confidence", "severity_confidence", "kg_relation_confidence",
         "standard_revision_priority_score",
@@ -92,7 +93,7 @@ def expand(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     df = with_aliases(ordered, [*texts, *shares])
     read = df.select(
         *[f"order_{i}" for i in range(len(order_by))],
-        *[resolve(df, name).alias(name) for name in texts],
+        *[(F.lower(resolve(df, name)) if name in words else resolve(df, name)).alias(name) for name in texts],
         *[v.first_share(df, rules.FIELD_ALIASES[name]).alias(name) for name in shares],
     )
     id_, name, demand = F.col("kg_standard_id"), F.col("kg_standard_name"), F.col("revision_demand")
