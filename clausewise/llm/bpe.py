@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import public_tokenizers
@@ -46,6 +47,8 @@ def _vocabulary(text: str) -> Vocabulary:
 def _encoder(text: str, lexicon_file: str) -> WordEncoder:
     key = ("encoder", lexicon_file)
     if key not in _open:
+        for old in [x for x in _open if isinstance(x, tuple)]:
+            del _open[old]
         vocabulary = _vocabulary(text)
         lexicon = automaton.Lexicon.from_file(SparkFiles.get(lexicon_file))
 
@@ -93,7 +96,7 @@ def build_lexicon(counts: DataFrame, tokenizer: str, words: int = LEXICON_WORDS)
 
 def ship(spark: SparkSession, lexicon: bytes) -> str:
     """Give every executor the lexicon as a file; returns its name for SparkFiles.get."""
-    name = f"lexicon-{hashlib.sha256(lexicon).hexdigest()[:32]}.bin"
+    name = f"lexicon-{uuid.uuid4().hex}.bin"
     path = os.path.join(tempfile.mkdtemp(prefix="clausewise-lexicon-"), name)
     with open(path, "wb") as file:
         file.write(lexicon)
