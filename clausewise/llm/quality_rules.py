@@ -8,6 +8,9 @@ pass and the score reaches the threshold, the same for every document.
 
 A null or empty text has no words and fails the base rules. Rows are scored one by
 one, so repeated ids and rows stay. A repeated label counts as good if any is.
+
+Steps are projections of their own. A filter on a result column would be pushed
+below them and repeat them, so write the result before filtering by it.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from clausewise.llm.common import table
 
 SPACE = r"[\x20\x09-\x0D]+"
 BUCKETS = 10_000
-#: Added to every bucket's count.
+#: Added to what a bucket has in the trusted documents, and to what it would have by its part of the corpus.
 SMOOTHING = 1.0
 #: Least mean log ratio of a document that is kept.
 THRESHOLD = -0.5
@@ -127,12 +130,13 @@ def bucket_weights(docs: DataFrame, labels: DataFrame) -> list[float]:
         .agg(F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("target"))
         .collect()
     )
-    raw, target = [SMOOTHING] * BUCKETS, [SMOOTHING] * BUCKETS
+    all_raw = sum(row["raw"] for row in counts)
+    share = sum(row["target"] for row in counts) / all_raw if all_raw else 0.0
+    weights = [0.0] * BUCKETS
     for row in counts:
-        raw[row["bucket"]] += row["raw"]
-        target[row["bucket"]] += row["target"]
-    all_raw, all_target = sum(raw), sum(target)
-    return [round(math.log(t / all_target) - math.log(r / all_raw), 6) for t, r in zip(target, raw)]
+        ratio = (row["target"] + SMOOTHING) / (share * row["raw"] + SMOOTHING)
+        weights[row["bucket"]] = round(math.log(ratio), 6)
+    return weights
 
 
 def mean_log_ratio(docs: DataFrame, weights: list[float], text: str = "text") -> DataFrame:
