@@ -24,8 +24,13 @@ WORD_END = "</w>"
 #: The split pattern of the tokenizer file.
 WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 SPACES = re.compile(f"[{SPACE}]+")
-#: Pieces and words that one worker keeps; when full, it starts anew.
-KEPT = 400_000
+#: Pieces and words that one worker keeps, twice; when full, what was not used of late goes.
+KEPT = 150_000
+#: Signs that end most pieces which are not letters alone.
+ENDINGS = frozenset(".,;:!?)")
+#: Bits of an id in the merge table.
+ID_BITS = 24
+NO_MERGE = 1 << 62
 
 
 def byte_letters() -> list[str]:
@@ -46,7 +51,13 @@ def lower(piece: str) -> str:
 
 
 def words_of(piece: str) -> list[str]:
-    return WORD.findall(lower(piece))
+    """Matches of WORD in a piece; letters alone, or with one sign after them, need no search."""
+    low = lower(piece)
+    if low.isalpha():
+        return [low]
+    if low[-1] in ENDINGS and low[:-1].isalpha():
+        return [low[:-1], low[-1]]
+    return WORD.findall(low)
 
 
 class Vocabulary:
@@ -62,8 +73,10 @@ class Vocabulary:
             self.tokens[at] = token
         self.inner = [vocab[x] for x in LETTERS]
         self.last = [vocab[x + WORD_END] for x in LETTERS]
+        #: Pair of ids in one number to rank and new id in one number.
         self.merges = {
-            (vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(data["model"]["merges"])
+            vocab[a] << ID_BITS | vocab[b]: rank << ID_BITS | vocab[a + b]
+            for rank, (a, b) in enumerate(data["model"]["merges"])
         }
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
 
@@ -75,52 +88,56 @@ class Vocabulary:
         return self._merge_short(ids) if len(ids) <= 48 else self._merge_long(ids)
 
     def _merge_short(self, ids: list[int]) -> list[int]:
-        merges = self.merges
-        while len(ids) > 1:
-            best = min(
-                ((*merges[pair], at) for at, pair in enumerate(zip(ids, ids[1:])) if pair in merges), default=None
-            )
-            if best is None:
-                break
-            at = best[2]
-            ids[at : at + 2] = [best[1]]
-        return ids
+        get, new_id = self.merges.get, (1 << ID_BITS) - 1
+        while True:
+            best, place, before = NO_MERGE, 0, ids[0]
+            for at in range(1, len(ids)):
+                now = ids[at]
+                found = get(before << ID_BITS | now, NO_MERGE)
+                if found < best:
+                    best, place = found, at
+                before = now
+            if not place:
+                return ids
+            ids[place - 1 : place + 1] = [best & new_id]
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap over a linked list, for words of any length."""
-        merges, n = self.merges, len(ids)
+        merges, n, new_id = self.merges, len(ids), (1 << ID_BITS) - 1
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*merges[p], at, p) for at, p in enumerate(zip(ids, ids[1:])) if p in merges]
-        heap = [(rank, at, new, pair) for rank, new, at, pair in heap]
+        pairs = [a << ID_BITS | b for a, b in zip(ids, ids[1:])]
+        heap = [(merges[pair], at, pair) for at, pair in enumerate(pairs) if pair in merges]
         heapify(heap)
         while heap:
-            _, at, new, pair = heappop(heap)
+            found, at, pair = heappop(heap)
             right = after[at]
-            if ids[at] != pair[0] or right >= n or ids[right] != pair[1]:
+            if right >= n or ids[at] < 0 or ids[at] << ID_BITS | ids[right] != pair:
                 continue
-            ids[at], ids[right] = new, -1
+            ids[at], ids[right] = found & new_id, -1
             after[at] = after[right]
             if after[at] < n:
                 before[after[at]] = at
             for left in (before[at], at):
                 if left >= 0 and after[left] < n:
-                    near = (ids[left], ids[after[left]])
+                    near = ids[left] << ID_BITS | ids[after[left]]
                     if near in merges:
-                        rank, made = merges[near]
-                        heappush(heap, (rank, left, made, near))
+                        heappush(heap, (merges[near], left, near))
         return [x for x in ids if x >= 0]
 
 
 class _Memory(dict):
-    """Values by key, made on first use."""
+    """Values by key, made on first use; two generations, of which the older is dropped."""
 
     def __init__(self, make: Callable) -> None:
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= KEPT:
+            self.old = dict(self)
             self.clear()
         self[key] = value
         return value
@@ -151,14 +168,20 @@ class WordEncoder:
     def _plain(self, text: str) -> bytes:
         return b"".join(map(self.by_piece.__getitem__, self.pieces(text)))
 
-    def count_words(self, texts: Iterable[str]) -> Counter:
-        """Words of plain texts and how often they occur."""
-        seen, counts = Counter(), Counter()
+    def count_pieces(self, texts: Iterable[str], counts: Counter) -> None:
+        """Add the pieces of texts, without special tokens, to counts."""
         for text in texts:
-            for part in self.vocabulary.split.split(text) if self.vocabulary.split else [text]:
-                if part not in self.vocabulary.special:
-                    seen.update(self.pieces(part))
-        for piece, n in seen.items():
+            if any(x in text for x in self.vocabulary.special):
+                for part in self.vocabulary.split.split(text):
+                    if part not in self.vocabulary.special:
+                        counts.update(self.pieces(part))
+            else:
+                counts.update(self.pieces(text))
+
+    @staticmethod
+    def count_words(pieces: Counter) -> Counter:
+        counts: Counter = Counter()
+        for piece, n in pieces.items():
             for word in words_of(piece):
                 counts[word] += n
         return counts

@@ -86,6 +86,21 @@ def test_round_trip(spark, words):
     assert got == sorted(want, key=str)
 
 
+def test_encode_then_decode(spark):
+    docs = frame(spark)
+    lexicon = bpe.ship(spark, bpe.build_lexicon(bpe.count_words(docs, "text", TEXT), TEXT))
+    both = bpe.encode(docs, "text", "ids", TEXT, lexicon, "decoded")
+    again = bpe.decode(bpe.encode(docs, "text", "ids", TEXT, lexicon), "ids", "decoded", TEXT)
+    assert both.columns == again.columns == ["doc_id", "text", "ids", "decoded"]
+    assert sorted(map(str, both.collect())) == sorted(map(str, again.collect()))
+
+
+def test_counts(spark):
+    docs = spark.createDataFrame([("The cat, the CAT's <|endoftext|>hat",), (None,), ("",)], "text string")
+    got = {r.word: r.n for r in bpe.count_words(docs, "text", TEXT).collect()}
+    assert got == {"the": 2, "cat": 2, ",": 1, "'s": 1, "hat": 1}
+
+
 def test_empty_tables(spark):
     docs = frame(spark).limit(0)
     assert bpe.round_trip(docs).count() == 0
