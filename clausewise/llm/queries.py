@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from clausewise.llm.bpe import op2_bpe
+from clausewise.llm.decontaminate import op5_decontaminate
 from clausewise.llm.near_dedup import op3_near_dedup
 from clausewise.llm.pii import op8_pii
 from clausewise.llm.quality_rules import op7_quality_rules
@@ -11,6 +12,7 @@ from clausewise.llm.token_files import op6_token_files
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_near_dedup": op3_near_dedup,
+    "op5_decontaminate": op5_decontaminate,
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
     "op8_pii": op8_pii,
