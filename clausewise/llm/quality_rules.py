@@ -122,7 +122,8 @@ def bucket_weights(docs: DataFrame, labels: DataFrame) -> list[float]:
     bucket, at most ``BUCKETS``.
     """
     good = labels.where("quality = 1").select("doc_id").distinct().withColumn("trusted", F.lit(1))
-    marked = docs.select("doc_id", "text").join(good, "doc_id", "left")
+    # sorted on both sides at every size, so that what a small table costs tells what a large one does
+    marked = docs.select("doc_id", "text").join(good.hint("merge"), "doc_id", "left")
     hashed = marked.select("trusted", token_hashes(F.coalesce("text", F.lit(""))).alias("tokens"))
     counts = (
         hashed.select("trusted", F.explode(ngrams(F.col("tokens"))).alias("bucket"))
