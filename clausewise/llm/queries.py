@@ -6,6 +6,7 @@ from clausewise.llm.bpe import op2_bpe
 from clausewise.llm.chat import ORACLE as CHAT_ORACLE
 from clausewise.llm.chat import op10_chat
 from clausewise.llm.decontaminate import op5_decontaminate
+from clausewise.llm.line_dedup import op9_line_dedup
 from clausewise.llm.near_dedup import op3_near_dedup
 from clausewise.llm.pii import op8_pii
 from clausewise.llm.quality_rules import op7_quality_rules
@@ -18,6 +19,7 @@ QUERIES = {
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
     "op8_pii": op8_pii,
+    "op9_line_dedup": op9_line_dedup,
     "op10_chat": op10_chat,
 }
 ORACLES: dict[str, str] = {"op10_chat": CHAT_ORACLE}
