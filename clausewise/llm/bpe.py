@@ -149,13 +149,14 @@ def read_tokenizer(path: str = TOKENIZER) -> str:
         return file.read()
 
 
-def round_trip(docs: DataFrame, path: str = TOKENIZER, words: int = LEXICON_WORDS) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of all documents."""
+def round_trip(docs: DataFrame, path: str = TOKENIZER, words: int = LEXICON_WORDS, keep_ids: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of all documents, with ids if they are to be kept."""
     spark, tokenizer = docs.sparkSession, read_tokenizer(path)
     lexicon = ship(spark, build_lexicon(count_words(docs, "text", tokenizer), tokenizer, words))
     return encode(docs.select("doc_id", "text"), "text", "ids", tokenizer, lexicon, "decoded").select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        *(["ids"] if keep_ids else []),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )

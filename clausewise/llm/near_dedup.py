@@ -89,23 +89,23 @@ def digest(text: str | None) -> str | None:
 
 
 def _buckets(docs: DataFrame) -> DataFrame:
-    """(doc_id, words, n_shingles, keys) per row; keys are the band keys, none without words."""
+    """(doc_id, row, words, n_shingles, keys) per row; row is a digest of the text, keys are the band keys, none without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(2).to_pylist()
             sets = [shingle_set(x) for x in texts]
             keys = [band_keys(x) if len(x) else [] for x in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array([digest(x) for x in texts], pa.string()),
+                    batch.column(0), batch.column(1), pa.array([digest(x) for x in texts], pa.string()),
                     pa.array([len(x) for x in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "words", "n_shingles", "keys"],
+                ["doc_id", "row", "words", "n_shingles", "keys"],
             )
 
-    thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return thin.mapInArrow(run, "doc_id long, words string, n_shingles long, keys array<long>")
+    thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
+    return thin.mapInArrow(run, "doc_id long, row long, words string, n_shingles long, keys array<long>")
 
 
 def _texts_of(docs: DataFrame, heads: DataFrame) -> DataFrame:
@@ -180,7 +180,7 @@ def _rare_pairs(texts: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def link(docs: DataFrame) -> DataFrame:
-    """(doc_id, words, n_shingles, component_id, kept) of every row."""
+    """(doc_id, row, words, n_shingles, component_id, kept) of every row."""
     rows = materialise(_buckets(docs))
     known = rows.where("words is not null and doc_id is not null")
     heads = materialise(known.groupBy("words").agg(F.min("doc_id").alias("id")))
@@ -206,5 +206,12 @@ def link(docs: DataFrame) -> DataFrame:
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def drop_copies(docs: DataFrame) -> DataFrame:
+    """The rows of docs that stand for their component, with all columns; rows with equal doc_id and text are one document."""
+    stay = link(docs).where("kept").select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct()
+    same = F.col("_doc").eqNullSafe(docs["doc_id"].cast("long")) & (F.col("_row") == F.xxhash64(docs["text"]))
+    return docs.join(stay, same, "left_semi")
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")

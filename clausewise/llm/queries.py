@@ -10,11 +10,15 @@ from clausewise.llm.line_dedup import op9_line_dedup
 from clausewise.llm.near_dedup import op3_near_dedup
 from clausewise.llm.pii import op8_pii
 from clausewise.llm.quality_rules import op7_quality_rules
+from clausewise.llm.quality_ranking import op4_quality_ranking
 from clausewise.llm.token_files import op6_token_files
+from clausewise.llm.toxicity import op1_toxicity
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_bpe": op2_bpe,
     "op3_near_dedup": op3_near_dedup,
+    "op4_quality_ranking": op4_quality_ranking,
     "op5_decontaminate": op5_decontaminate,
     "op6_token_files": op6_token_files,
     "op7_quality_rules": op7_quality_rules,
