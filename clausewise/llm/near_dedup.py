@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clausewise.llm.common import components, small_batches, table
@@ -75,13 +75,6 @@ def band_keys(items: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def word_digest(text: str) -> Column:
-    """As ``digest``, of a column."""
-    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    plain = F.trim(F.regexp_replace(lower, r"[\x20\x09-\x0D]+", " "))
-    return F.when(plain != "", F.substring(F.sha2(plain.cast("binary"), 256), 1, 32))
-
-
 def digest(text: str | None) -> str | None:
     """Of the word sequence, letters A-Z in lower case; None without words."""
     plain = b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
@@ -109,10 +102,10 @@ def _buckets(docs: DataFrame) -> DataFrame:
 
 
 def _texts_of(docs: DataFrame, heads: DataFrame) -> DataFrame:
-    """(id, words, text) of the classes in heads."""
-    thin = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    found = thin.join(heads, "id").where(word_digest("text") == F.col("words"))
-    return found.groupBy("id", "words").agg(F.first("text").alias("text"))  # a repeated row once; all are alike
+    """(id, row, text) of the documents that stand for the classes in heads."""
+    thin = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("row"), "text")
+    found = thin.join(heads, ["id", "row"]).groupBy("id", "row")  # a repeated row once
+    return found.agg(F.first("text").alias("text"))
 
 
 def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -156,8 +149,7 @@ def _rare_pairs(texts: DataFrame, parts: DataFrame) -> DataFrame:
                 ["id", "row", "n", "shingle"],
             )
 
-    keyed = texts.select("id", F.xxhash64("id", "words").alias("row"), "text")
-    items = materialise(keyed.mapInArrow(run, "id long, row long, n long, shingle long"))
+    items = materialise(texts.select("id", "row", "text").mapInArrow(run, "id long, row long, n long, shingle long"))
     common = items.groupBy("shingle").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     # shingles of one text alone come first in its order and join with nothing
     held = items.join(common, "shingle").groupBy("id", "row", "n").agg(
@@ -183,20 +175,22 @@ def link(docs: DataFrame) -> DataFrame:
     """(doc_id, row, words, n_shingles, component_id, kept) of every row."""
     rows = materialise(_buckets(docs))
     known = rows.where("words is not null and doc_id is not null")
-    heads = materialise(known.groupBy("words").agg(F.min("doc_id").alias("id")))
-    entries = rows.join(heads.withColumnRenamed("id", "doc_id"), ["words", "doc_id"])
+    head = F.min(F.struct("doc_id", "row")).alias("head")
+    heads = known.groupBy("words").agg(head).select("words", F.col("head.doc_id").alias("id"), F.col("head.row").alias("row"))
+    heads = materialise(heads)
+    entries = rows.join(heads.select("words", F.col("id").alias("doc_id"), "row"), ["words", "doc_id", "row"])
     entries = entries.select(F.col("doc_id").alias("id"), F.explode("keys").alias("key")).distinct()
     lows = entries.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     crowded = materialise(entries.join(lows.select("key", "low"), "key"))
     stars = materialise(crowded.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct())
-    texts = _texts_of(docs, crowded.select("id").distinct().join(heads, "id"))
+    texts = materialise(_texts_of(docs, heads.join(crowded.select("id").distinct(), "id", "left_semi")))
     links = materialise(similar(stars, texts))
     vertices = heads.select("id").distinct()
     parts = materialise(components(vertices, links))
     bucketed = crowded.join(parts, "id").groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     open_keys = bucketed.where("x < y").select("key")
     apart = crowded.join(open_keys, "key").select("id").distinct()
-    rest = _texts_of(docs, apart.join(heads, "id"))
+    rest = texts.join(apart, "id", "left_semi")
     more = materialise(similar(materialise(_rare_pairs(rest, parts)), rest))
     parts = components(vertices, links.union(more))
     named = heads.join(parts, "id").select("words", F.col("component").alias("component_id"))
