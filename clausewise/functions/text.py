@@ -82,10 +82,10 @@ def with_tokens(df: DataFrame, texts: Mapping[str, Column], n: int = 2) -> DataF
 
 def overlap(left: Column, right: Column) -> Column:
     """Jaccard share of two duplicate-free arrays; 0 when one is empty."""
-    shared = F.size(F.array_intersect(left, right)).cast("double")
-    return F.when((F.size(left) == 0) | (F.size(right) == 0), 0.0).otherwise(
-        shared / (F.size(left) + F.size(right) - shared)
-    )
+    both = F.size(left) + F.size(right)
+    # one element long, so that the shared size is worked out once and read twice
+    shares = F.transform(F.array(F.size(F.array_intersect(left, right)).cast("double")), lambda n: n / (both - n))
+    return F.when((F.size(left) == 0) | (F.size(right) == 0), 0.0).otherwise(F.get(shares, F.lit(0)))
 
 
 def similarity(left: Column, right: Column, weights: dict = rules.MATCH_RULES) -> Column:

@@ -36,14 +36,18 @@ def text_of(c: Column) -> Column:
     return strip(F.coalesce(c.cast("string"), F.lit("")))
 
 
+def longest(words: Iterable[str]) -> int:
+    """One letter more than the longest word: so much of a text tells whether it is one of them."""
+    return max(map(len, words)) + 1
+
+
 def _unless_empty(stripped: Column) -> Column:
-    # The words have at most four letters, so five are enough to tell them.
-    return F.when(~F.lower(F.substring(stripped, 1, 5)).isin("", *rules.EMPTY_WORDS), stripped)
+    return F.when(~F.lower(F.substring(stripped, 1, longest(rules.EMPTY_WORDS))).isin("", *rules.EMPTY_WORDS), stripped)
 
 
 def _unless_empty_column(name: str) -> Column:
     words = ", ".join(f"'{word}'" for word in ["", *rules.EMPTY_WORDS])
-    return F.expr(f"CASE WHEN lower(substring(`{name}`, 1, 5)) NOT IN ({words}) THEN `{name}` END")
+    return F.expr(f"CASE WHEN lower(substring(`{name}`, 1, {longest(rules.EMPTY_WORDS)})) NOT IN ({words}) THEN `{name}` END")
 
 
 def filled(c: Column) -> Column:
@@ -176,17 +180,27 @@ def severity_rank(c: Column) -> Column:
 
 def rounded(c: Column, digits: int) -> Column:
     """Half-up rounding that does not depend on the last bit of a double."""
-    return F.round(c.cast("decimal(20,10)"), digits).cast("double")
+    return F.round(c.cast("decimal(38,10)"), digits).cast("double")
 
 
 def fixed(c: Column, digits: int) -> Column:
     """Number printed with a fixed count of digits."""
-    return F.round(c.cast("decimal(20,10)"), digits).cast(f"decimal(16,{digits})").cast("string")
+    return F.round(c.cast("decimal(38,10)"), digits).cast(f"decimal(38,{digits})").cast("string")
+
+
+#: Largest size that ``exact`` holds.
+EXACT_BELOW = 1e17
 
 
 def exact(c: Column) -> Column:
-    """Score as a small decimal, so that sums do not depend on the order of rows."""
-    return c.cast("decimal(8,6)")
+    """Number as a decimal of ten places, so that sums do not depend on the order of rows; null from EXACT_BELOW on."""
+    return F.when(F.abs(c) < EXACT_BELOW, c.cast("decimal(28,10)"))
+
+
+def total(c: Column) -> Column:
+    """Sum over rows as a double: exact for usual numbers, and what is too large for that added as doubles."""
+    large = F.sum(F.when(F.abs(c) >= EXACT_BELOW, c.cast("double")))
+    return F.coalesce(F.sum(exact(c)).cast("double"), F.lit(0.0)) + F.coalesce(large, F.lit(0.0))
 
 
 def mapped(c: Column, scores: Mapping[str, float], default: float) -> Column:

@@ -32,7 +32,7 @@ def one_line(c: Column) -> Column:
 def known(line: Column) -> Column:
     """Text of one line, '' for empty words and the unknown mark."""
     words = [*rules.EMPTY_WORDS, rules.UNKNOWN]
-    return F.when(F.lower(F.substring(line, 1, 5)).isin(words), "").otherwise(line)
+    return F.when(F.lower(F.substring(line, 1, v.longest(words))).isin(words), "").otherwise(line)
 
 
 def clean_text(c: Column) -> Column:
@@ -41,8 +41,17 @@ def clean_text(c: Column) -> Column:
 
 
 def date_of(line: Column, formats: Sequence[str] = tuple(rules.DATE_FORMATS)) -> Column:
-    """Date as yyyy-MM-dd; what is no date in any format stays as it is."""
-    parsed = F.coalesce(*[F.try_to_timestamp(line, F.lit(form)) for form in formats])
+    """Date as yyyy-MM-dd; what is no date in any format stays as it is.
+
+    Fractions of seconds, zones, weekdays and ordinal endings say nothing about the day that is
+    written, and are taken off before the formats are tried; month names are cut to three letters.
+    """
+    plain = F.regexp_replace(line, rules.DATE_TAIL, "$1")
+    plain = F.regexp_replace(plain, rules.DATE_WEEKDAY, "")
+    plain = F.regexp_replace(plain, rules.DATE_ORDINAL, "$1")
+    plain = F.initcap(F.regexp_replace(plain, rules.DATE_MONTH, "$1"))
+    plain = F.regexp_replace(plain, r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})[Tt ] *", "$1 ")
+    parsed = F.coalesce(*[F.try_to_timestamp(plain, F.lit(form)) for form in formats])
     return F.coalesce(F.date_format(parsed, "yyyy-MM-dd"), line)
 
 

@@ -234,14 +234,14 @@ def _table_ids(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     )
 
 
-def _first_per(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """First row per key in (issue order, slot) order.
+def _first_per(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """First row per keys in (issue order, slot) order.
 
     Nodes such as a category occur in a large share of all rows; the rank limit
     is applied before the shuffle, so each task sends every key at most once.
     """
     order = sorted(c for c in df.columns if c.startswith("order_"))
-    first = F.row_number().over(Window.partitionBy(key).orderBy(*order, "slot"))
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, "slot"))
     return df.withColumn("_n", first).filter("_n = 1").select(*columns)
 
 
@@ -276,11 +276,14 @@ def node_table(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     )
     order = [name for name in ids.columns if name.startswith("order_")]
     rows = ids.select(*order, F.posexplode(slots).alias("slot", "x")).filter("x IS NOT NULL")
-    return _first_per(rows.select(*order, "slot", "x.*"), "node_id", NODE_COLUMNS)
+    return _first_per(rows.select(*order, "slot", "x.*"), ["node_id"], NODE_COLUMNS)
 
 
 def edge_table(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """Distinct edges over all issues; edges with a blank end are dropped."""
+    """Distinct edges over all issues; edges with a blank end are dropped.
+
+    Edges are told apart by their ends and relation, not by edge_id, which is a short hash of them.
+    """
     ids = _table_ids(df, order_by)
     c = F.col
     none = F.lit(None).cast("string")
@@ -310,4 +313,4 @@ def edge_table(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     )
     order = [name for name in ids.columns if name.startswith("order_")]
     rows = ids.select(*order, F.posexplode(slots).alias("slot", "x")).filter("x IS NOT NULL")
-    return _first_per(rows.select(*order, "slot", "x.*"), "edge_id", EDGE_COLUMNS)
+    return _first_per(rows.select(*order, "slot", "x.*"), ["source_id", "target_id", "relation_type"], EDGE_COLUMNS)

@@ -152,8 +152,8 @@ def standard_report(
         F.count_if("need").alias("revision_need_count"),
         F.count_if("major").alias("major_or_above_issue_count"),
         F.max("priority_score").alias("max_issue"),
-        (F.sum(v.exact(F.col("priority_score"))).cast("double") / n).alias("avg_issue"),
-        (F.sum(v.exact(F.col("kg_match_score"))).cast("double") / n).alias("avg_match"),
+        (v.total(F.col("priority_score")) / n).alias("avg_issue"),
+        (v.total(F.col("kg_match_score")) / n).alias("avg_match"),
         F.max("revision_priority_score").alias("max_revision"),
     )
     order_columns = [f"order_{i}" for i in range(len(order_by))]

@@ -328,9 +328,11 @@ oracle(
 )
 oracle(
     "issue_clean_date",
-    f"SELECT o_orderkey, {day('event_time')} AS event_time FROM spelled",
+    f"""SELECT o_orderkey, CASE WHEN k IN (9, 10, 11, 12, 13, 14, 16, 17, 18, 19, 20, 21) THEN strftime(o_orderdate, '%Y-%m-%d')
+        WHEN k = 15 THEN strftime(o_orderdate, '%Y-%m-01') WHEN k = 22 THEN strftime(o_orderdate, '%Y年%-m月')
+        ELSE {day('event_time')} END AS event_time FROM spelled""",
     spelled="""
-      SELECT o_orderkey, CASE o_orderkey % 9
+      SELECT o_orderkey, o_orderdate, o_orderkey % 23 AS k, CASE o_orderkey % 23
         WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y/%-m/%-d')
         WHEN 2 THEN strftime(o_orderdate, '%Y.%m.%d') WHEN 3 THEN strftime(o_orderdate, '%Y%m%d')
         WHEN 4 THEN strftime(o_orderdate, '%-m/%-d/%Y') WHEN 5 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
@@ -692,9 +694,9 @@ oracle(
 )
 oracle(
     "join_feature_vector",
-    "SELECT row_pos, sample_id, device_type, "
+    "SELECT row_pos, sample_id, device_type, vec_id, "
     + ", ".join(f"embedding[{i + 1}] AS cls_{i}" for i in range(64))
-    + " FROM doc_issues JOIN embeddings ON row_pos = vec_id",
+    + " FROM doc_issues JOIN embeddings ON row_pos % (SELECT count(*) FROM embeddings) = vec_id",
     "doc_issues",
 )
 

@@ -56,8 +56,8 @@ def flags_as_text(df: DataFrame) -> DataFrame:
 
 def _round_trip(df: DataFrame, suffix: str) -> DataFrame:
     spark = df.sparkSession
-    path = tables.write_table(df, f"{shared_dir(spark)}/table{suffix}")
-    return tables.read_table(spark, path, df.schema)
+    path = tables.write_table(df, f"{shared_dir(spark)}/table{suffix}", escaped_breaks=True)
+    return tables.read_table(spark, path, df.schema, escaped_breaks=True)
 
 
 @query
@@ -144,7 +144,7 @@ def issue_clean_text(spark, sf):
 @query
 def issue_clean_date(spark, sf):
     """Order dates in several spellings, and some that are no dates."""
-    day, k = F.to_date("o_orderdate"), F.col("o_orderkey") % 9
+    day, k = F.to_date("o_orderdate"), F.col("o_orderkey") % 23
     spelled = (
         F.when(k == 0, F.date_format(day, "yyyy-MM-dd"))
         .when(k == 1, F.date_format(day, "yyyy/M/d"))
@@ -154,6 +154,20 @@ def issue_clean_date(spark, sf):
         .when(k == 5, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
         .when(k == 6, F.concat(F.lit(" week  of "), F.date_format(day, "yyyy")))
         .when(k == 7, F.lit("NaN"))
+        .when(k == 9, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSS"))
+        .when(k == 10, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .when(k == 11, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'+08:00'"))
+        .when(k == 12, F.date_format(day, "MMM d, yyyy"))
+        .when(k == 13, F.date_format(day, "d MMMM yyyy"))
+        .when(k == 14, F.date_format(day, "MMMM d yyyy"))
+        .when(k == 15, F.date_format(day, "yyyy-MM"))
+        .when(k == 16, F.date_format("o_orderdate", "yyyyMMddHHmmss"))
+        .when(k == 17, F.date_format(day, "MM-dd-yyyy"))
+        .when(k == 18, F.date_format("o_orderdate", "M/d/yyyy HH:mm"))
+        .when(k == 19, F.date_format(day, "d-MMM-yyyy"))
+        .when(k == 20, F.date_format(day, "EEEE, MMMM d, yyyy"))
+        .when(k == 21, F.date_format("o_orderdate", "yyyy/M/d HH:mm"))
+        .when(k == 22, F.concat(F.date_format(day, "yyyy"), F.lit("年"), F.date_format(day, "M"), F.lit("月")))
     )
     orders = table(spark, sf, "orders").select("o_orderkey", spelled.alias("event_time"))
     return cleaning.clean_columns(orders, [], ["event_time"])
@@ -368,10 +382,11 @@ def join_category_prediction(spark, sf):
 
 @query
 def join_feature_vector(spark, sf):
-    vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("row_pos"), F.col("embedding").alias("vector"))
+    """All documents; vectors are dealt to them in turn, so every one has its vector."""
+    vectors = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     docs = view(spark, sf, "doc_issues").select("row_pos", "sample_id", "device_type")
-    with_vector = docs.join(vectors.select("row_pos"), "row_pos", "left_semi")
-    return learning.feature_matrix(with_vector, vectors, "row_pos", dim=64)
+    dealt = docs.withColumn("vec_id", F.pmod("row_pos", vectors.select(F.count(F.lit(1))).scalar()))
+    return learning.feature_matrix(dealt, vectors, "vec_id", dim=64)
 
 
 # ----------------------------------------------- text similarity and matching

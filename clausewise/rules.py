@@ -72,7 +72,26 @@ DATE_FORMATS = [
     "yyyy-M-d H:mm",
     "yyyy/M/d H:mm",
     "yyyy-M-d'T'H:mm:ss",
+    "yyyy-M",
+    "yyyyMMddHHmmss",
+    "yyyyMMdd H:mm:ss",
+    "M-d-yyyy",
+    "M/d/yyyy H:mm:ss",
+    "M/d/yyyy H:mm",
+    "MMM d, yyyy",
+    "MMM d yyyy",
+    "d MMM yyyy",
+    "d-MMM-yyyy",
+    "MMM yyyy",
+    "yyyy MMM d",
+    "MMM d, yyyy H:mm:ss",
+    "d MMM yyyy H:mm:ss",
 ]
+# What is taken off a date before the formats are tried.
+DATE_TAIL = r"(?i)([0-9]:[0-9]{2}(?::[0-9]{2})?)(?:[.,][0-9]+)? *(?:z|utc|gmt|[+-][0-9]{2}:?[0-9]{2})?$"
+DATE_WEEKDAY = r"(?i)^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,? +"
+DATE_ORDINAL = r"(?i)\b([0-9]{1,2})(?:st|nd|rd|th)\b"
+DATE_MONTH = r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?"
 
 # ---------------------------------------------------------------- fixed values
 # Text normalisation.

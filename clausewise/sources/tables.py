@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import posixpath
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 # Quotes are doubled inside quoted values, blanks at the ends are data.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 CSV_READ = {"multiLine": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 CSV_WRITE = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""'}
+# Line breaks of texts as a backslash and a letter, so that a line is a row and many tasks can read one file.
+BREAKS = [("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")]
 KINDS = {".csv": "csv", ".jsonl": "jsonl", ".parquet": "parquet"}
 
 
@@ -27,27 +30,57 @@ def read_table(
     path: str,
     schema: StructType | str | None = None,
     file_type: str | None = None,
+    *,
+    escaped_breaks: bool = False,
 ) -> DataFrame:
     """Read a table by suffix or given type.
 
+    CSV from elsewhere may have line breaks inside quotes, which one task per file has to read. CSV that
+    ``write_table`` wrote with escaped_breaks is split like any other text, and gets its line breaks back.
+
     Give a schema wherever the data is large: without one the columns of CSV
     are read as text and those of JSON lines are inferred by one extra pass.
     """
     kind = kind_of(path, file_type)
     reader = spark.read if schema is None else spark.read.schema(schema)
     if kind == "csv":
-        return reader.options(**CSV_OPTIONS, **CSV_READ).csv(path)
+        df = reader.options(**CSV_OPTIONS, **{**CSV_READ, "multiLine": not escaped_breaks}).csv(path)
+        return _on_texts(df, _with_breaks) if escaped_breaks else df
     if kind == "jsonl":
         return reader.json(path)
     return reader.parquet(path)
 
 
-def write_table(df: DataFrame, path: str, file_type: str | None = None) -> str:
+def _on_texts(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    names = [field.name for field in df.schema.fields if isinstance(field.dataType, StringType)]
+    return df.withColumns({name: change(F.col(name)) for name in names})
+
+
+def _without_breaks(c: Column) -> Column:
+    for plain, escaped in BREAKS:
+        c = F.replace(c, F.lit(plain), F.lit(escaped))
+    return c
+
+
+def _with_breaks(c: Column) -> Column:
+    """An escaped backslash is set apart first, so that it never makes a break with the letter after it."""
+    parts = F.split(c, r"\\\\")
+    for plain, escaped in BREAKS[1:]:
+        parts = _each(parts, escaped, plain)
+    return F.array_join(parts, "\\")
+
+
+def _each(parts: Column, old: str, new: str) -> Column:
+    return F.transform(parts, lambda x: F.replace(x, F.lit(old), F.lit(new)))
+
+
+def write_table(df: DataFrame, path: str, file_type: str | None = None, *, escaped_breaks: bool = False) -> str:
     """Write a folder of part files, replacing what was there; parents are made."""
     kind = kind_of(path, file_type)
     writer = df.write.mode("overwrite")
     if kind == "csv":
-        writer.options(**CSV_OPTIONS, **CSV_WRITE).csv(path)
+        df = _on_texts(df, _without_breaks) if escaped_breaks else df
+        df.write.mode("overwrite").options(**CSV_OPTIONS, **CSV_WRITE).csv(path)
     elif kind == "jsonl":
         writer.option("ignoreNullFields", False).json(path)
     else:
