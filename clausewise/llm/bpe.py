@@ -33,7 +33,7 @@ from clausewise.session import materialise
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: A word is frequent if it is at least this part of all words, so the lexicon has at most so many words.
-LEXICON_WORDS = 200_000
+LEXICON_WORDS = 1_000_000
 #: Distinct pieces a task holds while it counts.
 COUNTED_AT_ONCE = 300_000
 

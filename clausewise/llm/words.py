@@ -25,7 +25,7 @@ WORD_END = "</w>"
 WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
 SPACES = re.compile(f"[{SPACE}]+")
 #: Pieces and words that one worker keeps, twice; when full, what was not used of late goes.
-KEPT = 150_000
+KEPT = 400_000
 #: Signs that end most pieces which are not letters alone.
 ENDINGS = frozenset(".,;:!?)")
 #: Bits of an id in the merge table.
@@ -89,17 +89,16 @@ class Vocabulary:
 
     def _merge_short(self, ids: list[int]) -> list[int]:
         get, new_id = self.merges.get, (1 << ID_BITS) - 1
-        while True:
-            best, place, before = NO_MERGE, 0, ids[0]
-            for at in range(1, len(ids)):
-                now = ids[at]
-                found = get(before << ID_BITS | now, NO_MERGE)
-                if found < best:
-                    best, place = found, at
-                before = now
-            if not place:
-                return ids
-            ids[place - 1 : place + 1] = [best & new_id]
+        found = [get(a << ID_BITS | b, NO_MERGE) for a, b in zip(ids, ids[1:])]
+        while found and (best := min(found)) != NO_MERGE:
+            at = found.index(best)  # the leftmost
+            ids[at] = best & new_id
+            del ids[at + 1], found[at]
+            if at < len(found):
+                found[at] = get(ids[at] << ID_BITS | ids[at + 1], NO_MERGE)
+            if at:
+                found[at - 1] = get(ids[at - 1] << ID_BITS | ids[at], NO_MERGE)
+        return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap over a linked list, for words of any length."""
@@ -149,7 +148,11 @@ class WordEncoder:
     def __init__(self, vocabulary: Vocabulary, word_ids: Callable[[str], Iterable[int]]) -> None:
         self.vocabulary = vocabulary
         self.by_word = _Memory(lambda word: array("I", word_ids(word)).tobytes())
-        self.by_piece = _Memory(lambda piece: b"".join([self.by_word[w] for w in words_of(piece)]))
+        self.by_piece = _Memory(self._piece_ids)
+
+    def _piece_ids(self, piece: str) -> bytes:
+        words = words_of(piece)
+        return self.by_word[words[0]] if len(words) == 1 else b"".join(map(self.by_word.__getitem__, words))
 
     def pieces(self, text: str) -> list[str]:
         if any(x in text for x in NOT_SPACE):
