@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from clausewise import rules
 from clausewise.functions import values as v
-from clausewise.session import materialise
 
 GROUP = ["kg_standard_id", "kg_standard_name", "kg_clause_id", "kg_clause_title"]
 DIMENSIONS = ["device_type", "major", "organization", "region"]
-FOLD = [*GROUP, *DIMENSIONS, "kg_relation_type", "revision_need_type", "standard_no", "clause_no"]
+COUNTED = [*DIMENSIONS, "kg_relation_type", "revision_need_type"]
+ALL, NUMBERS, BREAK = "all", "numbers", "\x01"
 REPRESENTATIVES = 3
 
 
@@ -134,52 +134,62 @@ def order_columns(df: DataFrame) -> list[str]:
 
 
 def fold(expanded: DataFrame) -> DataFrame:
-    """Rows folded per group and combination of all values that are counted later.
+    """Rows counted per group, kind and value.
 
-    Only numbers are aggregated, so this one pass over the rows is a hash
-    aggregation with partial sums before the shuffle, and a clause that holds
-    a large part of all rows arrives as a few folded rows.  Everything else
-    (totals, distinct counts, distributions) works on the folded rows.
+    Every row counts once under the kind ``all``, once under each counted column with its value, and
+    once under ``numbers``.  Only numbers are aggregated, so this is one hash aggregation whose partial
+    sums have a row per group and value of a task, and a clause that holds a large part of all rows
+    arrives as a few of them.  Totals, distinct counts and distributions all start from its result.
     """
     rank = v.severity_rank(F.col("predicted_severity"))
-    return expanded.groupBy(*FOLD).agg(
+    number = F.concat_ws(BREAK, "standard_no", "clause_no")
+    items = [(ALL, F.lit("")), (NUMBERS, number), *((name, F.col(name)) for name in COUNTED)]
+    thin = expanded.select(
+        *GROUP,
+        F.array(*[F.struct(F.lit(kind).alias("kind"), value.alias("value")) for kind, value in items]).alias("items"),
+        (rank >= 3).alias("high"), (rank >= 2).alias("medium_high"), "revision_demand", "need_review",
+        low_confidence().alias("low"), v.exact(F.col("kg_relation_confidence")).alias("confidence"),
+        F.col("kg_relation_confidence").alias("confidence_as_is"),
+        v.exact(F.col("standard_revision_priority_score")).alias("priority"),
+        v.mapped(F.col("standard_status"), rules.STATUS_SCORES, 0.0).alias("status"), "order_0",
+    )
+    rows = thin.select("*", F.inline("items")).drop("items")
+    return rows.groupBy(*GROUP, "kind", "value").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(rank >= 3).alias("high"),
-        F.count_if(rank >= 2).alias("medium_high"),
+        F.count_if("high").alias("high"),
+        F.count_if("medium_high").alias("medium_high"),
         F.count_if("revision_demand").alias("demand"),
         F.count_if("need_review").alias("review"),
-        F.count_if(low_confidence()).alias("low"),
-        F.sum(v.exact(F.col("kg_relation_confidence"))).alias("confidence_sum"),
-        F.max("kg_relation_confidence").alias("confidence_max"),
-        F.sum(v.exact(F.col("standard_revision_priority_score"))).alias("priority_sum"),
-        F.max(v.mapped(F.col("standard_status"), rules.STATUS_SCORES, 0.0)).alias("status"),
+        F.count_if("low").alias("low"),
+        F.sum("confidence").alias("confidence_sum"),
+        F.max("confidence_as_is").alias("confidence_max"),
+        F.sum("priority").alias("priority_sum"),
+        F.max("status").alias("status"),
         F.min("order_0").alias("first_at"),
     )
 
 
 def aggregate(folded: DataFrame) -> DataFrame:
     """Counts, means, maxima and distinct dimension values per group."""
-    total = {name: F.sum(name) for name in ("n", "high", "medium_high", "demand", "review", "low")}
+    of = lambda kind, c: F.max(F.when(F.col("kind") == kind, c))
+    whole = lambda name: of(ALL, F.col(name))  # one row per group
+    value, n = F.col("value"), whole("n")
     scores = {
-        "status": F.col("status"),
-        "relation": v.mapped(F.col("kg_relation_type"), rules.RELATION_SCORES, 0.0),
-        "need": v.mapped(F.col("revision_need_type"), rules.NEED_SCORES, 0.0),
+        "status": whole("status"),
+        "relation": of("kg_relation_type", v.mapped(value, rules.RELATION_SCORES, 0.0)),
+        "need": of("revision_need_type", v.mapped(value, rules.NEED_SCORES, 0.0)),
     }
-    context = reduce(
-        Column.__add__, [weight * F.max(scores[name]) for name, weight in rules.CONTEXT_WEIGHTS.items()]
-    )
-    distinct = [
-        F.count_distinct(F.nullif(F.col(name), F.lit(""))).alias(f"{name}_count") for name in DIMENSIONS
-    ]
-    first = F.min(F.struct("first_at", "standard_no", "clause_no"))
+    context = reduce(Column.__add__, [weight * scores[name] for name, weight in rules.CONTEXT_WEIGHTS.items()])
+    distinct = [F.count_if((F.col("kind") == name) & (value != "")).alias(f"{name}_count") for name in DIMENSIONS]
+    first = F.min(F.when(F.col("kind") == NUMBERS, F.struct("first_at", "value")))
     per_group = folded.groupBy(*GROUP).agg(
-        *[column.alias(name) for name, column in total.items()],
-        (F.sum("confidence_sum").cast("double") / total["n"]).alias("confidence"),
-        F.max("confidence_max").alias("confidence_max"),
-        (F.sum("priority_sum").cast("double") / total["n"]).alias("mean_priority"),
+        *[whole(name).alias(name) for name in ("n", "high", "medium_high", "demand", "review", "low")],
+        (whole("confidence_sum").cast("double") / n).alias("confidence"),
+        whole("confidence_max").alias("confidence_max"),
+        (whole("priority_sum").cast("double") / n).alias("mean_priority"),
         context.alias("context"),
         *distinct,
-        first.alias("first"),
+        F.split(first["value"], BREAK).alias("first"),
     )
     return per_group.select(
         *GROUP,
@@ -195,8 +205,8 @@ def aggregate(folded: DataFrame) -> DataFrame:
         "mean_priority",
         "context",
         *[f"{name}_count" for name in DIMENSIONS],
-        F.col("first.standard_no").alias("standard_no"),
-        F.col("first.clause_no").alias("clause_no"),
+        F.get("first", F.lit(0)).alias("standard_no"),
+        F.get("first", F.lit(1)).alias("clause_no"),
     )
 
 
@@ -263,16 +273,12 @@ def reason_of() -> Column:
 
 def row_total(folded: DataFrame) -> Column:
     """Number of expanded rows as a scalar subquery."""
-    return folded.agg(F.sum("n").alias("rows")).scalar()
+    return folded.where(F.col("kind") == ALL).agg(F.sum("n").alias("rows")).scalar()
 
 
 def distribution(folded: DataFrame, column: str, out: str) -> DataFrame:
     """Value counts of a column per group as JSON with sorted keys."""
-    counts = (
-        folded.filter(F.col(column) != "")
-        .groupBy(*GROUP, F.col(column).alias("value"))
-        .agg(F.sum("n").alias("n"))
-    )
+    counts = folded.filter((F.col("kind") == column) & (F.col("value") != ""))
     listed = F.sort_array(F.collect_list(F.struct("value", "n")))
     return counts.groupBy(*GROUP).agg(F.to_json(F.map_from_entries(listed)).alias(out))
 
@@ -309,11 +315,10 @@ def representatives(expanded: DataFrame, limit: int = REPRESENTATIVES) -> DataFr
 def rank(expanded: DataFrame, top_k: int = 50, min_count: int = 1) -> DataFrame:
     """The k clauses with the highest score, with all 37 report columns.
 
-    Two passes over the rows: one folds them (written out, as totals, scores
-    and distributions all start from it), the other fetches the representatives
-    of the at most ``top_k`` groups on the list.
+    Two passes over the rows: one folds them (totals, scores and distributions share its exchange),
+    the other fetches the representatives of the at most ``top_k`` groups on the list.
     """
-    folded = materialise(fold(expanded))
+    folded = fold(expanded)
     groups = scored(aggregate(folded), row_total(folded))
     order = [F.desc("score"), F.desc("related_problem_count"), F.desc("best_confidence"), *GROUP]
     best = (
