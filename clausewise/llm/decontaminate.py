@@ -17,7 +17,6 @@ ignored, null and empty texts have no passages. Rows are treated one by one, so
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,12 +32,13 @@ Q = 8
 EDIT_PERCENT = 5
 #: Benchmark items are a query set; more than this many bytes of them is refused, not cut.
 MAX_BENCHMARK_BYTES = 256 << 20
+#: Size of the table that tells which q-grams need a search; small enough to stay in a core's cache.
+SLOT_BITS = 20
 PASSAGES = ArrayType(StructType().add("item_id", LongType()).add("edits", IntegerType()))
-_SPACES = re.compile(rb"[\x20\x09-\x0D]+")
 
 
 def normal(text: str | None) -> bytes:
-    return _SPACES.sub(b" ", (text or "").encode("utf-8", "surrogatepass").lower()).strip(b" ")
+    return b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
 
 
 def grams(data: bytes) -> np.ndarray:
@@ -65,13 +65,13 @@ class Items:
         self.keys = keys[order]
         self.item = np.repeat(np.array(longer, np.int64), [len(x) for x in parts])[order]
         self.place = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(x)) for x in parts)])[order]
-        self.mask = np.zeros(1 << 22, bool)  # which hashes occur at all
+        self.mask = np.zeros(1 << SLOT_BITS, bool)  # which hashes occur at all
         self.mask[self._slot(self.keys)] = True
 
     @staticmethod
     def _slot(keys: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(42)).astype(np.int64)
+            return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
     def hits(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place in the text, item, place in the item) of every common q-gram."""
@@ -90,8 +90,12 @@ def regions(items: Items, data: bytes) -> list[tuple[int, int, int]]:
     Each q-gram of the item counts once in a band.
     """
     text_at, item, place = items.hits(data)
-    if not len(item):
+    # an item with fewer hits in the whole text than one band needs has no such band
+    enough = np.bincount(item, minlength=len(items.ids)) >= items.need
+    some = enough[item]
+    if not some.any():
         return []
+    text_at, item, place = text_at[some], item[some], place[some]
     width = 2 * items.edits[item] + 1
     band = (text_at - place + items.lengths[item]) // width
     item, place, band = np.tile(item, 2), np.tile(place, 2), np.concatenate([band, band - 1])
