@@ -101,7 +101,7 @@ def ship(spark: SparkSession, lexicon: bytes) -> str:
     path = os.path.join(tempfile.mkdtemp(prefix="clausewise-lexicon-"), name)
     with open(path, "wb") as file:
         file.write(lexicon)
-    spark.sparkContext.addFile(path)  # copied into the driver's file server
+    spark.sparkContext.addFile(path)  # executors fetch it from the driver
     return name
 
 

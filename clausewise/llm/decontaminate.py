@@ -10,8 +10,8 @@ least m + 1 - q (k + 1) q-grams with it, all on diagonals within k of each other
    place on the band's diagonals, and no others.
 
 Letters A-Z are compared in lower case and runs of white space as one space; lengths and
-edits are in UTF-8 bytes of that form. k is a twentieth of an item's length. Items too short for
-the bound to be positive (under 12 bytes) are looked up as they are. Null and empty items are
+edits are in UTF-8 bytes of that form. k is a tenth of an item's length. Items too short for
+the bound to be positive (at most 35 bytes) are looked up as they are. Null and empty items are
 ignored, null and empty texts have no passages. Rows are treated one by one, so repeated ids stay.
 """
 
@@ -29,7 +29,7 @@ from clausewise.llm.common import small_batches, table
 
 Q = 8
 #: Edits allowed, in percent of an item's length.
-EDIT_PERCENT = 5
+EDIT_PERCENT = 10
 #: Benchmark items are a query set; more than this many bytes of them is refused, not cut.
 MAX_BENCHMARK_BYTES = 256 << 20
 #: Size of the table that tells which q-grams need a search; small enough to stay in a core's cache.

@@ -204,7 +204,7 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs that stand for their component, with all columns; rows with equal doc_id and text are one document."""
     stay = link(docs).where("kept").select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct()
     same = F.col("_doc").eqNullSafe(docs["doc_id"].cast("long")) & (F.col("_row") == F.xxhash64(docs["text"]))
-    return docs.join(stay, same, "left_semi")
+    return docs.join(stay.hint("merge"), same, "left_semi")
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
