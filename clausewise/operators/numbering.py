@@ -8,20 +8,17 @@ from pyspark.sql import functions as F
 from clausewise.functions import values as v
 from clausewise.session import materialise
 
-BLOCK_BITS = 20
 
+def number_rows(df: DataFrame, order_col: str, out: str = "row_no") -> DataFrame:
+    """Number rows 1..n by a unique column of any ordered type.
 
-def number_rows(df: DataFrame, order_col: str, out: str = "row_no", bits: int = BLOCK_BITS) -> DataFrame:
-    """Number rows 1..n by a unique whole-number column.
-
-    Rows are cut into blocks of 2**bits consecutive order values, so a block
-    can never hold more rows than that whatever the data looks like.  Blocks
-    are numbered on their own and shifted by the row counts of earlier blocks;
-    only those counts, one per block, meet in one task.  All of it works on
-    the order column alone; the rows themselves are joined once at the end.
+    Order values are dealt into ranges of about equal size by their own distribution, so gaps between
+    them do not matter.  The range of a value is written down with it; ranges are numbered on their
+    own and shifted by the row counts of earlier ones.  Only those counts, one per range,
+    meet in one task.  All of it works on the order column alone; the rows are joined once at the end.
     """
-    block = F.shiftright(F.col(order_col).cast("bigint"), bits)
-    thin = materialise(df.select(F.col(order_col), block.alias("_block")))
+    ranges = df.select(order_col).repartitionByRange(F.col(order_col))
+    thin = materialise(ranges.withColumn("_block", F.spark_partition_id()))
     counts = thin.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

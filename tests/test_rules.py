@@ -103,9 +103,10 @@ def test_first_of_a_hot_key(spark):
 
 
 def test_numbers_over_blocks(spark):
-    df = spark.range(0, 5000, 7).repartition(3)
-    got = {r["id"]: r["row_no"] for r in numbering.number_rows(df, "id", bits=6).collect()}
-    assert got == {x: i + 1 for i, x in enumerate(range(0, 5000, 7))}
+    for step in (7, 1 << 31):  # dense and far apart
+        df = spark.range(0, 700 * step, step).repartition(3)
+        got = {r["id"]: r["row_no"] for r in numbering.number_rows(df, "id").collect()}
+        assert got == {x: i + 1 for i, x in enumerate(range(0, 700 * step, step))}
     assert one(spark, numbering.padded_id("p_", F.lit(7)), numbering.padded_id("p_", F.lit(12345678))) == ("p_000007", "p_12345678")
 
 
