@@ -710,17 +710,21 @@ oracle(
 )
 oracle(
     "text_similarity",
-    f"SELECT doc_id, item_id, {alike('a', 'b')} AS similarity FROM l JOIN r ON l.source = r.source",
+    f"""SELECT * FROM (SELECT doc_id, item_id, {alike('a', 'b')} AS similarity FROM l JOIN r ON l.source = r.source)
+        WHERE similarity > 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, item_id) <= 3""",
     l=f"SELECT *, {gram_list('a_clean')} AS a_grams FROM (SELECT doc_id, source, {parts_of('a', 'text')} FROM documents)",
     r=f"""SELECT *, {gram_list('b_clean')} AS b_grams FROM (
       SELECT item_id, 'src' || (item_id % 20) AS source, {parts_of('b', 'text')} FROM benchmark)""",
 )
 oracle(
     "keyword_overlap",
-    f"""SELECT doc_id, pos, hits, {rnd('CASE WHEN len(keywords) > 0 THEN hits / len(keywords) ELSE 0 END', 4)} AS share
+    f"""SELECT * FROM (SELECT doc_id, pos, hits,
+          {rnd('CASE WHEN len(keywords) > 0 THEN hits / len(keywords) ELSE 0 END', 4)} AS share
         FROM (SELECT doc_id, pos, keywords,
           len(list_filter(keywords, lambda w: w <> '' AND contains(text, w))) AS hits
-          FROM documents JOIN clauses ON source = equipment_type WHERE equipment_type <> '')""",
+          FROM documents JOIN clauses ON source = equipment_type WHERE equipment_type <> ''))
+        WHERE hits > 0
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY share DESC, hits DESC, pos) <= 3""",
     "clauses",
 )
 

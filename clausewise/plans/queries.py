@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -34,6 +34,8 @@ from clausewise.sources import library, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: Pairs per left row that the similarity queries return.
+BEST = 3
 
 
 def query(fn: Query) -> Query:
@@ -46,6 +48,12 @@ def listed(c: Column, ordered: bool = False) -> Column:
     return F.array_join(c if ordered else F.array_sort(c), "|")
 
 
+def best(pairs: DataFrame, of: str, order: list) -> DataFrame:
+    """The first BEST pairs of each left row; tasks drop the others before any shuffle."""
+    place = F.row_number().over(Window.partitionBy(of).orderBy(*order))
+    return pairs.withColumn("_n", place).filter(F.col("_n") <= BEST).drop("_n")
+
+
 def flags_as_text(df: DataFrame) -> DataFrame:
     bools = [f.name for f in df.schema.fields if isinstance(f.dataType, BooleanType)]
     return df.withColumns({name: F.col(name).cast("string") for name in bools})
@@ -403,7 +411,7 @@ def token_sets(spark, sf):
 
 @query
 def text_similarity(spark, sf):
-    """Documents against the clauses of their source."""
+    """The clauses of its source that are most like a document, so many rows per document at most."""
     docs = table(spark, sf, "documents").select("doc_id", "text", F.col("source").alias("equipment"))
     items = table(spark, sf, "benchmark").select(
         "item_id", "text", F.concat(F.lit("src"), (F.col("item_id") % 20).cast("string")).alias("equipment")
@@ -411,7 +419,8 @@ def text_similarity(spark, sf):
     left = t.with_tokens(docs.repartition("doc_id"), {"left": F.col("text")}).drop("text")
     right = t.with_tokens(items, {"right": F.col("text")}).drop("text")
     pairs = linking.candidates(left, right)
-    return pairs.select("doc_id", "item_id", t.similarity(F.col("left"), F.col("right")).alias("similarity"))
+    alike = pairs.select("doc_id", "item_id", t.similarity(F.col("left"), F.col("right")).alias("similarity"))
+    return best(alike.filter("similarity > 0"), "doc_id", [F.desc("similarity"), "item_id"])
 
 
 @query
@@ -421,7 +430,8 @@ def keyword_overlap(spark, sf):
     pairs = linking.candidates(docs, clauses.select(F.col("equipment_type").alias("equipment"), "pos", "keywords"))
     hits = pairs.withColumn("hits", t.keyword_hits(F.col("keywords"), F.col("text")))
     share = F.when(F.size("keywords") > 0, F.col("hits") / F.size("keywords")).otherwise(0.0)
-    return hits.select("doc_id", "pos", F.col("hits").cast("bigint").alias("hits"), v.rounded(share, 4).alias("share"))
+    hits = hits.select("doc_id", "pos", F.col("hits").cast("bigint").alias("hits"), v.rounded(share, 4).alias("share"))
+    return best(hits.filter("hits > 0"), "doc_id", [F.desc("share"), F.desc("hits"), "pos"])
 
 
 @query
