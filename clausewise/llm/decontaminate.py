@@ -11,8 +11,12 @@ least m + 1 - q (k + 1) q-grams with it, all on diagonals within k of each other
 
 Letters A-Z are compared in lower case and runs of white space as one space; lengths and
 edits are in UTF-8 bytes of that form. k is a tenth of an item's length. Items too short for
-the bound to be positive (at most 35 bytes) are looked up as they are. Null and empty items are
-ignored, null and empty texts have no passages. Rows are treated one by one, so repeated ids stay.
+the bound to be positive (at most 35 bytes) are looked up as they are.
+
+A text that holds only a part of an item is found by the same lemma on windows of the item: ``WINDOW_BYTES``
+bytes, one every ``WINDOW_STEP`` and one at the end, each with its own edits (a tenth of its length) and its own
+aligned band. So any WINDOW_BYTES + WINDOW_STEP - 1 bytes in a row of an item are found, wherever they are.
+Items shorter than a window have no parts. Null and empty items are ignored, null and empty texts have no passages. Rows are treated one by one, so repeated ids stay.
 """
 
 from __future__ import annotations
@@ -30,10 +34,15 @@ from clausewise.llm.common import small_batches, table
 Q = 8
 #: Edits allowed, in percent of an item's length.
 EDIT_PERCENT = 10
+#: Parts of items are found by windows of so many bytes, which begin at every so many bytes of an item.
+WINDOW_BYTES, WINDOW_STEP = 64, 16
+WINDOW_EDITS = WINDOW_BYTES * EDIT_PERCENT // 100
+WINDOW_NEED = WINDOW_BYTES + 1 - Q * (WINDOW_EDITS + 1)
 #: Benchmark items are a query set; more than this many bytes of them is refused, not cut.
 MAX_BENCHMARK_BYTES = 256 << 20
 #: Size of the table that tells which q-grams need a search; small enough to stay in a core's cache.
 SLOT_BITS = 20
+PARTS = ArrayType(StructType().add("item_id", LongType()).add("windows", IntegerType()))
 PASSAGES = ArrayType(StructType().add("item_id", LongType()).add("edits", IntegerType()))
 
 
@@ -83,13 +92,52 @@ class Items:
         return np.repeat(at, n), self.item[entry], self.place[entry]
 
 
-def regions(items: Items, data: bytes) -> list[tuple[int, int, int]]:
+def windows(length: int) -> list[int]:
+    """Where the windows of an item begin."""
+    last = length - WINDOW_BYTES
+    return sorted({*range(0, last + 1, WINDOW_STEP), last}) if last >= 0 else []
+
+
+def part_regions(items: Items, hits: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[tuple[int, int, int]]:
+    """(item, start of the window, first diagonal of the item) of the bands whose count meets the windows' bound.
+
+    All windows have the same edits, so the bands of an item do for each of its windows; only what lies in a band
+    with enough hits for one window is dealt to windows.
+    """
+    text_at, item, place = hits
+    some = (np.bincount(item, minlength=len(items.ids)) >= WINDOW_NEED)[item] & (items.lengths[item] >= WINDOW_BYTES)
+    if not some.any():
+        return []
+    text_at, item, place = text_at[some], item[some], place[some]
+    step = 2 * WINDOW_EDITS + 1
+    band = (text_at - place + items.lengths[item]) // step
+    item, place, band = np.tile(item, 2), np.tile(place, 2), np.concatenate([band, band - 1])
+    order = np.lexsort((place, band, item))
+    item, place, band = item[order], place[order], band[order]
+    new_band = np.concatenate([[True], (item[1:] != item[:-1]) | (band[1:] != band[:-1])])
+    new_gram = new_band | np.concatenate([[True], place[1:] != place[:-1]])
+    starts = np.flatnonzero(new_band)
+    enough = np.add.reduceat(new_gram, starts) >= WINDOW_NEED
+    stops = np.append(starts[1:], len(item))
+    out = []
+    for s, e in zip(starts[enough], stops[enough]):
+        i = int(item[s])
+        own = place[s:e][new_gram[s:e]]
+        first = int(band[s]) * step - int(items.lengths[i])
+        for at in windows(int(items.lengths[i])):
+            low, high = np.searchsorted(own, (at, at + WINDOW_BYTES - Q + 1))
+            if high - low >= WINDOW_NEED:
+                out.append((i, at, first))
+    return out
+
+
+def regions(items: Items, data: bytes, hits: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> list[tuple[int, int, int]]:
     """(item, first, last diagonal) of the bands whose count meets the bound, each once.
 
     A band spans 4k + 2 diagonals and begins every 2k + 1, so any 2k + 1 neighbours share one.
     Each q-gram of the item counts once in a band.
     """
-    text_at, item, place = items.hits(data)
+    text_at, item, place = items.hits(data) if hits is None else hits
     # an item with fewer hits in the whole text than one band needs has no such band
     enough = np.bincount(item, minlength=len(items.ids)) >= items.need
     some = enough[item]
@@ -146,14 +194,30 @@ def banded(pattern: bytes, data: bytes, first: int, last: int, most: int) -> tup
 
 def passages(items: Items, text: str | None) -> list[tuple[int, int]]:
     """(item id, fewest edits) of the items that stand in a text, by id."""
+    return whole_and_parts(items, text, False)[0]
+
+
+def whole_and_parts(items: Items, text: str | None, with_parts: bool = True) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """(item id, fewest edits) of the items that stand whole in a text, and (item id, windows) of those that only parts of do."""
     data = normal(text)
+    hits = items.hits(data)
     found: dict[int, int] = {i: 0 for i in items.short if items.texts[i] in data}
-    for i, first, last in regions(items, data):
+    for i, first, last in regions(items, data, hits):
         if found.get(i) != 0:
             best = banded(items.texts[i], data, first, last, int(items.edits[i]))
             if best is not None:
                 found[i] = min(best[0], found.get(i, best[0]))
-    return sorted((items.ids[i], edits) for i, edits in found.items())
+    seen: set[tuple[int, int]] = set()
+    for i, at, first in part_regions(items, hits) if with_parts else []:
+        if i not in found and (i, at) not in seen:
+            window = items.texts[i][at : at + WINDOW_BYTES]
+            if banded(window, data, first + at, first + at + 4 * WINDOW_EDITS + 1, WINDOW_EDITS) is not None:
+                seen.add((i, at))
+    count: dict[int, int] = {}
+    for i, _ in seen:
+        count[i] = count.get(i, 0) + 1
+    whole = sorted((items.ids[i], edits) for i, edits in found.items())
+    return whole, sorted((items.ids[i], n) for i, n in count.items())
 
 
 def read_items(benchmark: DataFrame) -> list[tuple[int, bytes]]:
@@ -170,30 +234,34 @@ def read_items(benchmark: DataFrame) -> list[tuple[int, bytes]]:
     return sorted((i, data) for data, i in lowest.items())
 
 
-def find(docs: DataFrame, benchmark: DataFrame, out: str = "passages") -> DataFrame:
-    """docs with an array of (item_id, edits), one for each item that stands in the text."""
+def find(docs: DataFrame, benchmark: DataFrame, out: str = "passages", parts: str = "parts") -> DataFrame:
+    """docs with an array of (item_id, edits), one for each item that stands whole in the text, and one of
+    (item_id, windows) for those that only parts of do."""
     shipped = docs.sparkSession.sparkContext.broadcast(read_items(benchmark))
-    rest = docs.drop(out)
-    schema = StructType([*rest.schema.fields, StructField(out, PASSAGES)])
-    at, kind = rest.columns.index("text"), pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32())]))
+    rest = docs.drop(out, parts)
+    schema = StructType([*rest.schema.fields, StructField(out, PASSAGES), StructField(parts, PARTS)])
+    at = rest.columns.index("text")
+    kinds = [pa.list_(pa.struct([("item_id", pa.int64()), (name, pa.int32())])) for name in ("edits", "windows")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(shipped.value)
         for batch in small_batches(batches):
-            found = [
-                [{"item_id": i, "edits": e} for i, e in passages(items, text)] for text in batch.column(at).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], schema.fieldNames())
+            both = [whole_and_parts(items, text) for text in batch.column(at).to_pylist()]
+            found = pa.array([[{"item_id": i, "edits": e} for i, e in whole] for whole, _ in both], kinds[0])
+            some = pa.array([[{"item_id": i, "windows": n} for i, n in part] for _, part in both], kinds[1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, found, some], schema.fieldNames())
 
     return rest.mapInArrow(run, schema)
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the benchmark items in it and the verdict."""
+    """Every document with the benchmark items in it, whole and in part, and the verdict."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return find(docs, table(spark, sf_dir, "benchmark")).select(
         "doc_id",
         F.size("passages").cast("long").alias("n_items"),
         F.array_join(F.transform("passages", lambda x: F.concat_ws(":", x["item_id"], x["edits"])), ",").alias("items"),
-        (F.size("passages") == 0).alias("kept"),
+        F.size("parts").cast("long").alias("n_parts"),
+        F.array_join(F.transform("parts", lambda x: F.concat_ws(":", x["item_id"], x["windows"])), ",").alias("parts"),
+        ((F.size("passages") == 0) & (F.size("parts") == 0)).alias("kept"),
     )

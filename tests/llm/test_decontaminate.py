@@ -90,3 +90,31 @@ def test_benchmark_bound(spark, monkeypatch):
     monkeypatch.setattr(d, "MAX_BENCHMARK_BYTES", 3)
     with pytest.raises(ValueError):
         d.read_items(spark.createDataFrame([(1, "abcd")], "item_id long, text string"))
+
+
+def brute_parts(items, text):
+    """(item id, windows) by a full alignment of every window of the items that do not stand whole."""
+    data, out, whole = d.normal(text), [], {i for i, _ in brute(items, text)}
+    for i, pattern in items:
+        n = sum(edits(pattern[at : at + d.WINDOW_BYTES], data) <= d.WINDOW_EDITS for at in d.windows(len(pattern)))
+        if n and i not in whole:
+            out.append((i, n))
+    return out
+
+
+def test_middle_line_gone(spark):
+    """What line dedup leaves of a passage: its first and its last lines."""
+    rng = np.random.default_rng(5)
+    items = [tuple(r) for r in table(spark, SF, "benchmark").collect()]
+    rows = [(i, d.normal(t)) for i, t in items if len(d.normal(t)) >= 240][:8]
+    assert len(rows) == 8
+    ready = d.Items(rows)
+    for i, data in rows:
+        text, third = data.decode(errors="ignore"), len(data) // 3
+        rest = data[:third].decode(errors="ignore") + "\n" + data[2 * third :].decode(errors="ignore")
+        for left in (rest, "before " + changed(rng, rest, 2) + " after", "x" * 90 + data[-79:].decode(errors="ignore"), text[:50], text):
+            assert d.whole_and_parts(ready, left) == (brute(rows, left), brute_parts(rows, left))
+        assert not d.passages(ready, rest) and [x for x, _ in d.whole_and_parts(ready, rest)[1]] == [i]
+    docs = spark.createDataFrame([(i, rest) for i, rest in enumerate([rest, "clean", None])], "doc_id long, text string")
+    got = d.find(docs, spark.createDataFrame([(7, text)], "item_id long, text string")).orderBy("doc_id").collect()
+    assert [([tuple(p)[0] for p in r.parts], r.passages) for r in got] == [([7], []), ([], []), ([], [])]
