@@ -7,6 +7,8 @@ from clausewise.llm.chat import ORACLE as CHAT_ORACLE
 from clausewise.llm.chat import op10_chat
 from clausewise.llm.decontaminate import op5_decontaminate
 from clausewise.llm.line_dedup import op9_line_dedup
+from clausewise.llm.merkle import ORACLE as MERKLE_ORACLE
+from clausewise.llm.merkle import op12_merkle
 from clausewise.llm.near_dedup import op3_near_dedup
 from clausewise.llm.pii import op8_pii
 from clausewise.llm.quality_rules import op7_quality_rules
@@ -25,5 +27,6 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat": op10_chat,
+    "op12_merkle": op12_merkle,
 }
-ORACLES: dict[str, str] = {"op10_chat": CHAT_ORACLE}
+ORACLES: dict[str, str] = {"op10_chat": CHAT_ORACLE, "op12_merkle": MERKLE_ORACLE}
