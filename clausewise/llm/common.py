@@ -25,6 +25,24 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -
             yield batch.slice(start, rows)
 
 
+#: A key with more than this share of all rows is hot; there are fewer such keys than that.
+HOT_KEYS = 10_000
+
+
+def lookup(left: DataFrame, right: DataFrame, key: str, rows: int, keep: bool = False) -> DataFrame:
+    """left with the columns of right, in which ``key`` is unique and ``_uses`` says how many rows of left it has.
+
+    ``rows`` is the number of rows of left. Keys with more than one in HOT_KEYS of them are fewer than HOT_KEYS, so
+    those are broadcast; the others are shuffled, and none of them is hot. Rows without a match are
+    dropped, or kept with nulls if ``keep`` is set.
+    """
+    is_hot = F.col("_uses") * HOT_KEYS > rows
+    hot, cold = right.where(is_hot).drop("_uses"), right.where(~is_hot).drop("_uses")
+    found = left.join(F.broadcast(hot), key)
+    others = left.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return found.unionByName(others.join(cold, key, "left" if keep else "inner"))
+
+
 def components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Connected components: (id, component), component being the smallest id reachable.
 

@@ -11,6 +11,8 @@ from clausewise.llm.merkle import ORACLE as MERKLE_ORACLE
 from clausewise.llm.merkle import op12_merkle
 from clausewise.llm.near_dedup import op3_near_dedup
 from clausewise.llm.pii import op8_pii
+from clausewise.llm.prefix_trie import ORACLE as TRIE_ORACLE
+from clausewise.llm.prefix_trie import op11_prefix_trie
 from clausewise.llm.quality_rules import op7_quality_rules
 from clausewise.llm.quality_ranking import op4_quality_ranking
 from clausewise.llm.token_files import op6_token_files
@@ -27,6 +29,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_line_dedup": op9_line_dedup,
     "op10_chat": op10_chat,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_merkle": op12_merkle,
 }
-ORACLES: dict[str, str] = {"op10_chat": CHAT_ORACLE, "op12_merkle": MERKLE_ORACLE}
+ORACLES: dict[str, str] = {"op10_chat": CHAT_ORACLE, "op11_prefix_trie": TRIE_ORACLE, "op12_merkle": MERKLE_ORACLE}
