@@ -17,6 +17,8 @@ from clausewise.llm.quality_rules import op7_quality_rules
 from clausewise.llm.quality_ranking import op4_quality_ranking
 from clausewise.llm.token_files import op6_token_files
 from clausewise.llm.toxicity import op1_toxicity
+from clausewise.llm.warc import ORACLE as WARC_ORACLE
+from clausewise.llm.warc import op13_warc
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
@@ -31,5 +33,11 @@ QUERIES = {
     "op10_chat": op10_chat,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_merkle": op12_merkle,
+    "op13_warc": op13_warc,
+}
+ORACLES: dict[str, str] = {
+    "op10_chat": CHAT_ORACLE,
+    "op11_prefix_trie": TRIE_ORACLE,
+    "op12_merkle": MERKLE_ORACLE,
+    "op13_warc": WARC_ORACLE,
 }
-ORACLES: dict[str, str] = {"op10_chat": CHAT_ORACLE, "op11_prefix_trie": TRIE_ORACLE, "op12_merkle": MERKLE_ORACLE}
