@@ -1,9 +1,8 @@
 """Linking issues to standard clauses.
 
-The texts of both sides are prepared once, the sides meet on the equipment
-key, and only thin scored rows (ids, score, reason) travel on.  Issues are
-spread by their id at the start; the ranking per issue and the join back to
-the issues then find their rows where they already are.
+The texts of both sides are prepared once, where they are; the sides meet on the equipment key, and only thin scored
+rows (ids, score, reason) are shuffled, at most k of an issue from a task. Nothing is measured while planning: whether the
+clauses are broadcast is the planner's choice, and without that adaptive execution splits the issues of a hot equipment.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from pyspark.sql import functions as F
 from clausewise import rules
 from clausewise.functions import text as t
 from clausewise.functions import values as v
-from clausewise.operators.joins import BROADCAST_BYTES, fits, lookup_join
 from clausewise.operators.revision import relation_of, with_revision
 from clausewise.operators.stages import canonical_stage
 
@@ -68,7 +66,7 @@ def equipment_by_windows(
         .withColumn("anchor", F.substring("window", 1, low))
     )
     anchored = names.select("name", F.substring("name", 1, low).alias("anchor"))
-    hits = lookup_join(windows, anchored, ["anchor"]).filter(F.col("window").startswith(F.col("name")))
+    hits = windows.join(anchored, "anchor").filter(F.col("window").startswith(F.col("name")))
     best = F.min(F.struct("field_no", (-F.length("name")).alias("shortness"), "name"))
     return hits.groupBy(id_col).agg(best.alias("best")).select(id_col, F.col("best.name").alias("equipment"))
 
@@ -123,9 +121,7 @@ def issue_features(
         "category_tokens": F.col("category"),
     }
     stage = canonical_stage(F.col("_stage"), stage_aliases)
-    return t.with_tokens(read.withColumn("stage", stage), texts).drop(
-        "_checkpoint", "_opinion", "_rule", "_stage"
-    )
+    return t.with_tokens(read.withColumn("stage", stage), texts).drop("_checkpoint", "_opinion", "_rule", "_stage")
 
 
 def point_features(points: DataFrame) -> DataFrame:
@@ -157,25 +153,21 @@ def point_features(points: DataFrame) -> DataFrame:
     )
 
 
-def candidates(
-    issues: DataFrame,
-    points: DataFrame,
-    *,
-    any_equipment: bool = True,
-    limit: int = BROADCAST_BYTES,
-    points_fit: bool | None = None,
-) -> DataFrame:
-    """Issues with the clauses of their equipment.
+def by_equipment(issues: DataFrame, points: DataFrame, names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the key on which they meet: the equipment, or one key for all when there are no names.
 
-    Without any supported equipment every clause is a candidate for every
-    issue; both sides then carry the same blank key.
+    Issues without a supported equipment have no candidates and are left out, as long as there are names.
     """
-    if not any_equipment:
-        points = points.withColumn("equipment", blank())
-        issues = issues.withColumn("equipment", blank())
-    else:
-        issues = issues.filter(F.col("equipment") != "")
-    return lookup_join(issues, points, ["equipment"], limit=limit, small_fits=points_fit)
+    any_name = names.limit(1).agg(F.count(F.lit(1)) > 0).scalar()
+    key = lambda df: df.withColumn("equipment", F.when(any_name, F.col("equipment")).otherwise(""))
+    return key(issues.where((F.col("equipment") != "") | ~any_name)), key(points)
+
+
+def candidate_counts(issues: DataFrame, points: DataFrame, names: DataFrame, id_col: str) -> DataFrame:
+    """(id, equipment, number of candidate clauses) of every issue that has any."""
+    left, right = by_equipment(issues.select(id_col, "equipment"), points.select("equipment"), names)
+    sizes = right.groupBy("equipment").agg(F.count(F.lit(1)).alias("candidates"))
+    return left.join(sizes, "equipment").select(id_col, "equipment", "candidates")
 
 
 # ---------------------------------------------------------------------- score
@@ -245,22 +237,15 @@ def reason_of(match_rules: Mapping = rules.MATCH_RULES) -> Column:
 def match_scores(
     issues: DataFrame,
     points: DataFrame,
+    names: DataFrame,
     id_col: str,
     *,
-    any_equipment: bool = True,
     match_rules: Mapping = rules.MATCH_RULES,
     stage_aliases: Mapping[str, str] | None = None,
-    limit: int = BROADCAST_BYTES,
-    points_fit: bool | None = None,
 ) -> DataFrame:
-    """Every candidate pair with its part scores; thin rows without the texts."""
-    pairs = candidates(
-        issue_features(issues, id_col, stage_aliases),
-        point_features(points),
-        any_equipment=any_equipment,
-        limit=limit,
-        points_fit=points_fit,
-    )
+    """Pairs of issues and clauses of their equipment with their part scores; thin rows without the texts."""
+    left, right = by_equipment(issues, points, names)
+    pairs = issue_features(left, id_col, stage_aliases).join(point_features(right), "equipment")
     return scored(pairs, match_rules).select(
         id_col, "point_id", "point_pos", "checkpoint_score", "issue_score", "keyword_score",
         "category_score", "opinion_score", "rule_score", "stage_score", "severity_score",
@@ -275,26 +260,24 @@ def best_matches(
     min_score: float = rules.MIN_SCORE,
     match_rules: Mapping = rules.MATCH_RULES,
 ) -> DataFrame:
-    """The k best clauses of each issue, ties by clause order, ranked from 1."""
+    """The k best clauses of each issue, ties by clause order, ranked from 1.
+
+    Tasks drop all but the k best of an issue before the shuffle, which is of thin rows.
+    """
     order = Window.partitionBy(id_col).orderBy(F.desc("score"), "point_pos", "point_id")
     ranked = scores.filter(F.col("score") >= min_score).withColumn("rank", F.row_number().over(order))
     return ranked.filter(F.col("rank") <= top_k).withColumn("reason", reason_of(match_rules))
 
 
-def any_row(df: DataFrame) -> bool:
-    return bool(df.limit(1).count())
-
-
 @dataclass(frozen=True)
 class Links:
-    """Issues with their ``equipment``, their ranked matches, and what is known of the clauses."""
+    """(id, ``equipment``) of all issues, their ranked matches, and the clauses and names they were matched with."""
 
-    issues: DataFrame
+    found: DataFrame
     matches: DataFrame
     id_col: str
-    any_point: bool
-    any_equipment: bool
-    points_fit: bool
+    points: DataFrame
+    names: DataFrame
 
 
 def link(
@@ -307,36 +290,25 @@ def link(
     min_score: float = rules.MIN_SCORE,
     match_rules: Mapping = rules.MATCH_RULES,
     stage_aliases: Mapping[str, str] | None = None,
-    limit: int = BROADCAST_BYTES,
 ) -> Links:
     """Find the equipment of every issue and its best clauses."""
-    any_equipment = any_row(names)
-    points_fit = fits(point_features(points), limit)
-    spread = with_equipment(issues.repartition(id_col), names, id_col)
-    scores = match_scores(
-        spread, points, id_col, any_equipment=any_equipment, match_rules=match_rules,
-        stage_aliases=stage_aliases, points_fit=points_fit,
-    )
+    named = with_equipment(issues, names, id_col)
+    scores = match_scores(named, points, names, id_col, match_rules=match_rules, stage_aliases=stage_aliases)
     matches = best_matches(scores, id_col, top_k, min_score, match_rules)
-    return Links(spread, matches, id_col, any_row(points), any_equipment, points_fit)
-
+    return Links(named.select(id_col, "equipment"), matches, id_col, points, names)
 
-def match_status(any_point: bool, any_equipment: bool) -> Column:
-    """Why an issue has or lacks a match; wants ``equipment`` and the best ``score``."""
-    if not any_point:
-        return F.lit("no_kg_data")
-    status = F.when(F.col("score").isNotNull(), "matched")
-    if any_equipment:
-        status = status.when(F.col("equipment") == "", "unsupported_equipment")
-    return status.otherwise("low_score")
 
-
-def with_status(links: Links, keep: Sequence[str] = ()) -> DataFrame:
-    """Ids (and columns to keep) with the best match, if any, and the match status."""
+def with_status(links: Links) -> DataFrame:
+    """Ids with the best match, if any, and why an issue has or lacks one."""
+    some = lambda df: df.limit(1).agg(F.count(F.lit(1)) > 0).scalar()
     best = links.matches.filter("rank = 1").select(links.id_col, "point_id", "score", "reason")
-    ids = links.issues.select(links.id_col, "equipment", *keep)
-    status = match_status(links.any_point, links.any_equipment)
-    return ids.join(best, links.id_col, "left").withColumn("kg_match_status", status)
+    status = (
+        F.when(~some(links.points), "no_kg_data")
+        .when(F.col("score").isNotNull(), "matched")
+        .when((F.col("equipment") == "") & some(links.names), "unsupported_equipment")
+        .otherwise("low_score")
+    )
+    return links.found.join(best, links.id_col, "left").withColumn("kg_match_status", status)
 
 
 def nested_matches(links: Links, points: DataFrame) -> DataFrame:
@@ -354,7 +326,7 @@ def nested_matches(links: Links, points: DataFrame) -> DataFrame:
         ).alias("match"),
     )
     thin = links.matches.select(links.id_col, "point_id", "rank", "score")
-    listed = lookup_join(thin, shown, ["point_id"], small_fits=links.points_fit)
+    listed = thin.join(shown, "point_id")
     grouped = listed.groupBy(links.id_col).agg(F.sort_array(F.collect_list(entry)).alias("m"))
     return grouped.select(links.id_col, F.to_json(F.col("m.match")).alias("kg_top_matches"))
 
@@ -370,27 +342,26 @@ def enrich_issues(
     match_rules: Mapping = rules.MATCH_RULES,
     revision_rules: Sequence[Mapping] = tuple(rules.REVISION_RULES),
     stage_aliases: Mapping[str, str] | None = None,
-    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Issues with their best clause (31 columns) and the revision outcome (5 columns).
 
-    ``order_col`` is unique per issue; it names issues that have no id.
+    ``order_col`` is the place of an issue, counted from 0 (``tables.with_position``); an issue without an id is
+    named by it, counted from 1.
     """
     links = link(
-        issues, points, names, order_col, top_k=top_k, min_score=min_score,
-        match_rules=match_rules, stage_aliases=stage_aliases, limit=limit,
+        issues, points, names, order_col, top_k=top_k, min_score=min_score, match_rules=match_rules, stage_aliases=stage_aliases
     )
     best = with_status(links).join(nested_matches(links, points), order_col, "left")
     # Points under names of their own, to stay apart from the issue's columns.
     named = points.select(*[F.col(c).alias(f"p_{c}") for c in points.columns])
-    best = lookup_join(best.withColumnRenamed("point_id", "p_point_id"), named, ["p_point_id"], "left", small_fits=links.points_fit)
-    full = links.issues.drop("equipment").join(best.drop("equipment"), order_col)
+    best = best.withColumnRenamed("point_id", "p_point_id").join(named, "p_point_id", "left")
+    full = issues.join(best.drop("equipment"), order_col)
 
     p = lambda name: F.col(f"p_{name}")
     text = lambda c: F.coalesce(c, blank())
     standard = F.get(p("standards"), F.lit(0))
     own = lambda name: F.nullif(p(name), blank())
-    fallback = F.concat(F.lit("problem_"), F.col(order_col).cast("string"))
+    fallback = F.concat(F.lit("problem_"), (F.col(order_col) + 1).cast("string"))
     full = v.with_filled(full, rules.LINK_ALIASES["issue_id"], prefix="_f_")
     full = full.withColumns(
         {

@@ -76,7 +76,8 @@ def expand(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
 
     An issue with a standard of its own gives one row, otherwise one row per
     reference; issues without any standard drop out.  ``order_0``... carry the
-    input order, the first of them also names issues without an id.
+    input order; the first of them is the place of an issue, counted from 0
+    (``tables.with_position``), and names issues without an id, counted from 1.
     """
     texts = [
         "problem_id", "problem_text", *DIMENSIONS, "predicted_severity", "kg_standard_id",
@@ -107,7 +108,7 @@ def expand(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
             v.hashed_id("standard", ref, 10).alias("kg_standard_id"), ref.alias("kg_standard_name")
         ),
     )
-    row_name = F.concat(F.lit("row_"), F.col("order_0").cast("string"))
+    row_name = F.concat(F.lit("row_"), (F.col("order_0") + 1).cast("string"))
     shaped = read.withColumns(
         {
             "standard": F.when((id_ != "") | (name != ""), F.array(own)).otherwise(listed),

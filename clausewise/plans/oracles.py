@@ -670,7 +670,8 @@ oracle(
 )
 oracle(
     "join_candidates",
-    "SELECT f.row_pos, f.equipment, p.point_id FROM found f JOIN points p ON f.equipment = p.equipment WHERE f.equipment <> ''",
+    """SELECT f.row_pos, f.equipment, count(*) AS candidates FROM found f JOIN points p ON f.equipment = p.equipment
+       WHERE f.equipment <> '' GROUP BY ALL""",
     "doc_issues", "standards", "clauses", **LIBRARY,
     names=LIBRARY_NAMES, found=equipment_of(["device_type", "rule_name"]),
 )
@@ -817,7 +818,8 @@ _MATCH_VIEWS = ("doc_issues", "standards", "clauses")
 oracle(
     "match_score",
     f"""SELECT row_pos, point_id, checkpoint_score, issue_score, {rnd('keyword_score', 6)} AS keyword_score,
-        category_score, opinion_score, rule_score, stage_score, severity_score, score, reason FROM scored""",
+        category_score, opinion_score, rule_score, stage_score, severity_score, score, reason FROM scored
+        QUALIFY row_number() OVER (PARTITION BY row_pos ORDER BY score DESC, point_pos, point_id) <= 3""",
     *_MATCH_VIEWS, **MATCHING,
 )
 MATCHING["matched"] = MATCHED

@@ -348,11 +348,11 @@ def join_equipment_contains(spark, sf):
 
 @query
 def join_candidates(spark, sf):
+    """How many clauses each issue is compared with."""
     docs = view(spark, sf, "doc_issues").select("row_pos", "device_type", "rule_name")
     names = library.equipment_of_library(*_library(spark, sf))
     found = linking.with_equipment(docs, names, "row_pos").select("row_pos", "equipment")
-    points = _points(spark, sf).select("point_id", "equipment")
-    return linking.candidates(found, points).select("row_pos", "equipment", "point_id")
+    return linking.candidate_counts(found, _points(spark, sf), names, "row_pos")
 
 
 def _links(spark, sf, **options):
@@ -416,9 +416,9 @@ def text_similarity(spark, sf):
     items = table(spark, sf, "benchmark").select(
         "item_id", "text", F.concat(F.lit("src"), (F.col("item_id") % 20).cast("string")).alias("equipment")
     )
-    left = t.with_tokens(docs.repartition("doc_id"), {"left": F.col("text")}).drop("text")
+    left = t.with_tokens(docs, {"left": F.col("text")}).drop("text")
     right = t.with_tokens(items, {"right": F.col("text")}).drop("text")
-    pairs = linking.candidates(left, right)
+    pairs = left.join(right, "equipment")
     alike = pairs.select("doc_id", "item_id", t.similarity(F.col("left"), F.col("right")).alias("similarity"))
     return best(alike.filter("similarity > 0"), "doc_id", [F.desc("similarity"), "item_id"])
 
@@ -427,7 +427,7 @@ def text_similarity(spark, sf):
 def keyword_overlap(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", F.col("source").alias("equipment"))
     clauses = view(spark, sf, "clauses").filter("equipment_type != ''")
-    pairs = linking.candidates(docs, clauses.select(F.col("equipment_type").alias("equipment"), "pos", "keywords"))
+    pairs = docs.join(clauses.select(F.col("equipment_type").alias("equipment"), "pos", "keywords"), "equipment")
     hits = pairs.withColumn("hits", t.keyword_hits(F.col("keywords"), F.col("text")))
     share = F.when(F.size("keywords") > 0, F.col("hits") / F.size("keywords")).otherwise(0.0)
     hits = hits.select("doc_id", "pos", F.col("hits").cast("bigint").alias("hits"), v.rounded(share, 4).alias("share"))
@@ -436,14 +436,11 @@ def keyword_overlap(spark, sf):
 
 @query
 def match_score(spark, sf):
-    points = _points(spark, sf)
-    names = library.equipment_of_library(*_library(spark, sf))
-    docs = linking.with_equipment(view(spark, sf, "doc_issues").repartition("row_pos"), names, "row_pos")
-    return linking.match_scores(docs, points, "row_pos").select(
+    """The part scores of the clauses that an issue is most like, whatever their score."""
+    return _links(spark, sf, min_score=0.0).matches.select(
         "row_pos", "point_id", "checkpoint_score", "issue_score",
         v.rounded(F.col("keyword_score"), 6).alias("keyword_score"), "category_score",
-        "opinion_score", "rule_score", "stage_score", "severity_score", "score",
-        linking.reason_of().alias("reason"),
+        "opinion_score", "rule_score", "stage_score", "severity_score", "score", "reason",
     )
 
 

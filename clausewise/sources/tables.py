@@ -5,7 +5,7 @@ from __future__ import annotations
 import posixpath
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -89,8 +89,19 @@ def write_table(df: DataFrame, path: str, file_type: str | None = None, *, escap
 
 
 def with_position(df: DataFrame, out: str = "row_pos") -> DataFrame:
-    """File position as a unique growing number, the order that 'first' and 'last' refer to."""
-    return df.withColumn(out, F.monotonically_increasing_id())
+    """Place of a row in the files of a table, counted from 0 without gaps: the order that 'first' and 'last' refer to.
+
+    Rows are numbered within their partition and shifted by the rows of earlier ones, of which there is one count
+    per partition. The frame must come from files (or be deterministic), since it is read for the counts and for the rows.
+    """
+    part = F.shiftright("_id", 33)
+    numbered = df.withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", part)
+    counts = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_part", F.coalesce(earlier, F.lit(0)).alias("_start"))
+    inside = F.col("_id") - F.shiftleft(F.col("_part"), 33)
+    placed = numbered.join(F.broadcast(starts), "_part")  # one row per partition
+    return placed.withColumn(out, F.col("_start") + inside).drop("_id", "_part", "_start")
 
 
 def spread(df: DataFrame) -> DataFrame:

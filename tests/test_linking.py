@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clausewise.operators import graph, joins, linking
-from clausewise.sources import library
+from clausewise.sources import library, tables
 from tests import fixtures as fx
 
 NODES = [
@@ -107,17 +107,33 @@ def test_linking_without_broadcast(spark):
     issues = spark.createDataFrame(fx.ISSUES, fx.ISSUE_SCHEMA)
     points = library.points_from_library(standards, clauses)
     no_names = spark.createDataFrame([], "name string")
+    size = "spark.sql.autoBroadcastJoinThreshold"
     for names, low in ((library.equipment_of_library(standards, clauses), 0.12), (no_names, 0.0)):
-        found = [
-            sorted((r["row_pos"], r["point_id"], r["score"], r["rank"]) for r in linking.link(
-                issues, points, names, "row_pos", min_score=low, limit=limit).matches.collect())
-            for limit in (joins.BROADCAST_BYTES, -1)
-        ]
+        found = []
+        for limit in ("10m", "-1"):
+            spark.conf.set(size, limit)
+            matches = linking.link(issues, points, names, "row_pos", min_score=low).matches
+            found.append(sorted((r["row_pos"], r["point_id"], r["score"], r["rank"]) for r in matches.collect()))
+        spark.conf.unset(size)
         assert found[0] == found[1] and found[0]
     # Without any equipment every clause is a candidate.
     assert len(found[0]) == 3 * len(fx.ISSUES)
 
 
+def test_ids_of_issues_without_one(spark, tmp_path):
+    path = str(tmp_path / "issues")
+    spark.range(0, 5, 1, 3).selectExpr("concat('text ', id) AS text", "CASE WHEN id = 2 THEN 'own' END AS problem_id").write.json(path)
+    placed = tables.with_position(spark.read.schema("text string, problem_id string").json(path))
+    assert sorted(r["row_pos"] for r in placed.collect()) == list(range(5))
+    standards = spark.createDataFrame([], "pos int, " + fx.STANDARD_SCHEMA)
+    clauses = spark.createDataFrame([], "pos int, " + fx.CLAUSE_SCHEMA)
+    points, names = library.points_from_library(standards, clauses), library.equipment_of_library(standards, clauses)
+    rows = linking.enrich_issues(placed, points, names, "row_pos").collect()
+    assert {r["row_pos"]: r["problem_id"] for r in rows} == {
+        r["row_pos"]: "own" if r["text"] == "text 2" else f"problem_{r['row_pos'] + 1}" for r in rows
+    }
+
+
 def test_nested_graph(spark):
     df = spark.createDataFrame(
         [("P1", "文本", "组合电器", "电气", "施工", "重大", "S1", "标准一", "C1", "条款"), ("P2", "文本", "组合电器", "电气", "施工", "重大", "S1", "标准一", "", "")],
