@@ -42,12 +42,17 @@ def longest(words: Iterable[str]) -> int:
 
 
 def _unless_empty(stripped: Column) -> Column:
-    return F.when(~F.lower(F.substring(stripped, 1, longest(rules.EMPTY_WORDS))).isin("", *rules.EMPTY_WORDS), stripped)
+    """Null for empty words; what has more bytes than any of them is not looked into."""
+    long = F.octet_length(stripped) > max(map(len, rules.EMPTY_WORDS))
+    return F.when(long, stripped).when(~F.lower(stripped).isin("", *rules.EMPTY_WORDS), stripped)
 
 
 def _unless_empty_column(name: str) -> Column:
     words = ", ".join(f"'{word}'" for word in ["", *rules.EMPTY_WORDS])
-    return F.expr(f"CASE WHEN lower(substring(`{name}`, 1, {longest(rules.EMPTY_WORDS)})) NOT IN ({words}) THEN `{name}` END")
+    most = max(map(len, rules.EMPTY_WORDS))
+    return F.expr(
+        f"CASE WHEN octet_length(`{name}`) > {most} THEN `{name}` WHEN lower(`{name}`) NOT IN ({words}) THEN `{name}` END"
+    )
 
 
 def filled(c: Column) -> Column:

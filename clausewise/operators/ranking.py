@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clausewise import rules
 from clausewise.functions import values as v
+from clausewise.session import materialise
 
 GROUP = ["kg_standard_id", "kg_standard_name", "kg_clause_id", "kg_clause_title"]
 DIMENSIONS = ["device_type", "major", "organization", "region"]
@@ -137,24 +138,29 @@ def order_columns(df: DataFrame) -> list[str]:
 def fold(expanded: DataFrame) -> DataFrame:
     """Rows counted per group, kind and value.
 
-    Every row counts once under the kind ``all``, once under each counted column with its value, and
+    Every row counts once under the kind ``all``, with its numbers, once under each counted column with its value, and
     once under ``numbers``.  Only numbers are aggregated, so this is one hash aggregation whose partial
     sums have a row per group and value of a task, and a clause that holds a large part of all rows
-    arrives as a few of them.  Totals, distinct counts and distributions all start from its result.
+    arrives as a few of them.  Totals, distinct counts and distributions all start from its result; write it
+    (``session.materialise``) where more than one of them is wanted.
     """
     rank = v.severity_rank(F.col("predicted_severity"))
     number = F.concat_ws(BREAK, "standard_no", "clause_no")
-    items = [(ALL, F.lit("")), (NUMBERS, number), *((name, F.col(name)) for name in COUNTED)]
     thin = expanded.select(
-        *GROUP,
-        F.array(*[F.struct(F.lit(kind).alias("kind"), value.alias("value")) for kind, value in items]).alias("items"),
-        (rank >= 3).alias("high"), (rank >= 2).alias("medium_high"), "revision_demand", "need_review",
-        low_confidence().alias("low"), v.exact(F.col("kg_relation_confidence")).alias("confidence"),
-        F.col("kg_relation_confidence").alias("confidence_as_is"),
-        v.exact(F.col("standard_revision_priority_score")).alias("priority"),
-        v.mapped(F.col("standard_status"), rules.STATUS_SCORES, 0.0).alias("status"), "order_0",
+        *GROUP, number.alias(NUMBERS), *COUNTED, "order_0",
+        F.struct(
+            (rank >= 3).alias("high"), (rank >= 2).alias("medium_high"), "revision_demand", "need_review",
+            low_confidence().alias("low"), v.exact(F.col("kg_relation_confidence")).alias("confidence"),
+            F.col("kg_relation_confidence").alias("confidence_as_is"),
+            v.exact(F.col("standard_revision_priority_score")).alias("priority"),
+            v.mapped(F.col("standard_status"), rules.STATUS_SCORES, 0.0).alias("status"),
+        ).alias("own"),
     )
-    rows = thin.select("*", F.inline("items")).drop("items")
+    # only the row of the kind ``all`` carries the numbers, so the sums of the others cost nothing
+    none = F.lit(None)
+    items = [(ALL, F.lit(""), F.col("own")), *((name, F.col(name), none) for name in (NUMBERS, *COUNTED))]
+    listed = F.array(*[F.struct(F.lit(k).alias("kind"), value.alias("value"), own.alias("own")) for k, value, own in items])
+    rows = thin.select(*GROUP, "order_0", F.inline(listed)).select(*GROUP, "order_0", "kind", "value", "own.*")
     return rows.groupBy(*GROUP, "kind", "value").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if("high").alias("high"),
@@ -313,27 +319,30 @@ def representatives(expanded: DataFrame, limit: int = REPRESENTATIVES) -> DataFr
     )
 
 
+def best_groups(folded: DataFrame, top_k: int = 50, min_count: int = 1) -> DataFrame:
+    """The k groups with the highest score, scored and ranked."""
+    groups = scored(aggregate(folded), row_total(folded))
+    order = [F.desc("score"), F.desc("related_problem_count"), F.desc("best_confidence"), *GROUP]
+    best = groups.filter(F.col("related_problem_count") >= min_count).orderBy(*order).limit(top_k)
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+
+
 def rank(expanded: DataFrame, top_k: int = 50, min_count: int = 1) -> DataFrame:
     """The k clauses with the highest score, with all 37 report columns.
 
-    Two passes over the rows: one folds them (totals, scores and distributions share its exchange),
-    the other fetches the representatives of the at most ``top_k`` groups on the list.
+    The expanded rows are written once, and folded once; what is on the list, its distributions and its
+    representatives are read from these two tables.
     """
-    folded = fold(expanded)
-    groups = scored(aggregate(folded), row_total(folded))
-    order = [F.desc("score"), F.desc("related_problem_count"), F.desc("best_confidence"), *GROUP]
-    best = (
-        groups.filter(F.col("related_problem_count") >= min_count)
-        .orderBy(*order)
-        .limit(top_k)
-        .withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    )
+    expanded = materialise(expanded)
+    folded = materialise(fold(expanded))
+    best = materialise(best_groups(folded, top_k, min_count))
     keys = F.broadcast(best.select(*GROUP))  # at most top_k rows
+    listed = folded.join(keys, GROUP, "left_semi")
     full = best
     for extra in (
         representatives(expanded.join(keys, GROUP, "left_semi")),
-        distribution(folded, "kg_relation_type", "relation_type_distribution"),
-        distribution(folded, "revision_need_type", "revision_need_type_distribution"),
+        distribution(listed, "kg_relation_type", "relation_type_distribution"),
+        distribution(listed, "revision_need_type", "revision_need_type_distribution"),
     ):
         full = full.join(extra, GROUP, "left")
     full = full.na.fill("{}", ["relation_type_distribution", "revision_need_type_distribution"])
@@ -375,17 +384,17 @@ def rank(expanded: DataFrame, top_k: int = 50, min_count: int = 1) -> DataFrame:
     return full.select(*[c.alias(name) for name, c in out.items()]).orderBy("rank")
 
 
-def summary(ranked: DataFrame, expanded: DataFrame) -> DataFrame:
+def summary(folded: DataFrame, top_k: int = 50, min_count: int = 1) -> DataFrame:
     """Eight totals over the ranked list and over all expanded rows, in one row."""
     one = F.count(F.lit(1))
-    level = F.col("aggregated_priority_level")
-    rows = expanded.agg(
-        one.alias("total_related_problems"),
-        F.count_if("need_review").alias("manual_review_problem_count"),
-        F.count_if(low_confidence()).alias("low_confidence_problem_count"),
+    level = F.col("level")
+    rows = folded.where(F.col("kind") == ALL).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(name) for c, name in (
+            ("n", "total_related_problems"), ("review", "manual_review_problem_count"), ("low", "low_confidence_problem_count"),
+        )],
         F.lit(1).alias("one"),
-    )
-    listed = ranked.agg(
+    )
+    listed = best_groups(folded, top_k, min_count).agg(
         one.alias("aggregated_item_count"),
         F.count_distinct("kg_standard_id").alias("standard_count"),
         F.count_if(~F.col("clause_missing")).alias("clause_count"),

@@ -628,7 +628,7 @@ def clause_aggregate(spark, sf):
 
 
 def _scored_clauses(spark, sf):
-    folded = ranking.fold(_expanded(spark, sf))
+    folded = materialise(ranking.fold(_expanded(spark, sf)))
     return ranking.scored(ranking.aggregate(folded), ranking.row_total(folded))
 
 
@@ -652,7 +652,7 @@ def clause_context_priority(spark, sf):
 
 @query
 def clause_distribution(spark, sf):
-    folded = ranking.fold(_expanded(spark, sf))
+    folded = materialise(ranking.fold(_expanded(spark, sf)))
     relations = ranking.distribution(folded, "kg_relation_type", "relation_type_distribution")
     needs = ranking.distribution(folded, "revision_need_type", "revision_need_type_distribution")
     return relations.join(needs, ranking.GROUP, "full")
@@ -670,8 +670,7 @@ def clause_rank(spark, sf):
 
 @query
 def clause_summary(spark, sf):
-    expanded = _expanded(spark, sf)
-    return ranking.summary(ranking.rank(expanded), expanded)
+    return ranking.summary(materialise(ranking.fold(_expanded(spark, sf))))
 
 
 @query

@@ -94,7 +94,7 @@ def test_ranking_of_linked(spark):
     assert top["representative_problem_ids"] == "D001；D003；D002"
     assert top["avg_relation_confidence"] == 0.7625
     assert ranked[1]["clause_missing"] and ranked[1]["kg_clause_id"] == ""
-    total = ranking.summary(ranking.rank(expanded), expanded).first()
+    total = ranking.summary(ranking.fold(expanded)).first()
     assert tuple(total) == (6, 3, 3, 2, 0, 1, 1, 1)
 
 
