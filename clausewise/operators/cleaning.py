@@ -75,13 +75,21 @@ def keep_valid(df: DataFrame, allowed: Sequence[str] = rules.LEVELS) -> DataFram
 def drop_repeats(
     df: DataFrame, order_by: Sequence[str], keys: Sequence[str] = rules.REPEAT_KEYS
 ) -> DataFrame:
-    """First row per key.
+    """First row per key; ``order_by`` is unique together.
 
-    The rank limit is applied by every map task before the shuffle, so however
-    many copies a key has, each task sends at most one of them.
+    The keys of a row are one 128-bit digest, and the least order per digest is a hash aggregation of thin
+    rows that every task does before the shuffle. The rows kept are then found by their order alone.
     """
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
-    return df.withColumn("_n", first).filter("_n = 1").drop("_n")
+    part = lambda c: F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-"))
+    digest = F.substring(F.sha2(F.concat(*[part(F.col(f"`{k}`").cast("string")) for k in keys]), 256), 1, 32)
+    order = [F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order_by)]
+    thin = df.select(digest.alias("_digest"), *order)
+    if len(order) == 1:  # plain numbers stay in the hash table of the aggregation
+        first = thin.groupBy("_digest").agg(F.min("_o0").alias("_o0")).select("_o0")
+    else:
+        least = F.min(F.struct(*[f"_o{i}" for i in range(len(order))]))
+        first = thin.groupBy("_digest").agg(least.alias("_first")).select("_first.*")
+    return df.join(first, [F.col(f"`{c}`").eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(order_by)], "left_semi")
 
 
 def assign_ids(df: DataFrame, order_col: str, prefix: str = rules.ID_PREFIX) -> DataFrame:

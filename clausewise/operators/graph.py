@@ -66,6 +66,10 @@ NODE_COLUMNS = ["node_id", "node_type", "name", "standard_no", "status", "clause
 EDGE_COLUMNS = ["edge_id", "source_id", "target_id", "relation_type", "confidence", "relation_reason"]
 
 
+#: Hexadecimal digits in the name of an issue without id.
+NAME_DIGITS = 32
+
+
 def _issue_labels(df: DataFrame, role: str) -> dict[str, Column]:
     """Category and level of an issue; the confirmed label stands in for the one in its role."""
     final = confirmed_label_columns(df)["final_confirmed_label"]
@@ -126,7 +130,7 @@ def with_nested_graph(df: DataFrame, role: str = "level") -> DataFrame:
     )
     first = lambda name: F.col(f"_{name}")
     some = lambda a, b: F.when(a != "", a).otherwise(b)
-    df = df.withColumn("_problem", some(first("issue_id"), v.hashed_id("problem", first("issue_text"))))
+    df = df.withColumn("_problem", some(first("issue_id"), v.hashed_id("problem", first("issue_text"), NAME_DIGITS)))
     blank, text, issue = F.lit(""), first("issue_text"), F.col("_problem")
     category, level, confidence = first("category"), first("level"), first("kg_relation_confidence")
     device, specialty, reason = first("device_type"), first("specialty"), first("reason")
@@ -215,7 +219,8 @@ def _table_ids(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
         *[f"order_{i}" for i in range(len(order_by))],
         *[v.first_of(df, names).alias(name) for name, names in TABLE_ALIASES.items()],
     )
-    problem = F.when(F.col("problem") != "", F.col("problem")).otherwise(v.hashed_id("problem", F.col("text")))
+    # an issue without id is named by its text; 128 bits, since nodes and ends of edges are told apart by the name
+    problem = F.when(F.col("problem") != "", F.col("problem")).otherwise(v.hashed_id("problem", F.col("text"), NAME_DIGITS))
     some = lambda name, c: F.when(F.col(name) != "", c).otherwise("")
     found = found.withColumns(
         {

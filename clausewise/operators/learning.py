@@ -1,8 +1,15 @@
-"""Labels, a one-label text classifier, its predictions, and feature vectors."""
+"""Labels, a one-label text classifier, its predictions, and feature vectors.
+
+The classifier is multinomial naive Bayes on character bigrams. Its model is a table: a row per gram with a whole-number
+log weight per class (millionths), so fitting is a grouped count, applying it an equi-join and a sum per
+text, and results depend neither on the order of rows nor on retried tasks. ``train_regression`` and
+``predict_regression`` are the same task with Spark ML's logistic regression.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -14,6 +21,7 @@ from pyspark.sql import functions as F
 from clausewise.functions import text as t
 from clausewise.functions import values as v
 from clausewise.operators.joins import lookup_join
+from clausewise.session import materialise
 
 VECTOR_DIM = 768
 FEATURES = 1 << 14
@@ -45,7 +53,62 @@ def with_grams(df: DataFrame, text_field: str = "model_input") -> DataFrame:
     return df.withColumn("grams", F.when(F.length(text) <= 2, F.array(text)).otherwise(every))
 
 
-def train_classifier(
+#: Weights are logarithms in millionths.
+UNIT = 1_000_000
+
+
+@dataclass(frozen=True)
+class Bayes:
+    """``weights`` has gram and weights (one per class), ``priors`` one row with priors (one per class)."""
+
+    weights: DataFrame
+    priors: DataFrame
+    classes: int
+
+
+def train_classifier(df: DataFrame, classes: int, text_field: str = "model_input", label_id: str = "labels") -> Bayes:
+    """Fit on all rows; ``label_id`` runs from 0 to ``classes`` - 1. Counts are smoothed by one.
+
+    Tasks count before the shuffle, so a frequent gram or class is a few rows of it.
+    """
+    ids, c = range(classes), F.col
+    each = with_grams(df, text_field).select(c(label_id).alias("k"), F.explode("grams").alias("gram"))
+    seen = each.groupBy("gram").agg(*[F.count_if(c("k") == k).alias(f"n{k}") for k in ids])
+    seen = materialise(seen)
+    totals = seen.agg(F.count(F.lit(1)).alias("v"), *[F.sum(f"n{k}").alias(f"t{k}") for k in ids])
+    log = lambda x: F.round(F.ln(x) * UNIT).cast("bigint")
+    total = [totals.select(F.coalesce(c(f"t{k}"), F.lit(0)) + c("v")).scalar() for k in ids]
+    weights = seen.select("gram", F.array(*[log((c(f"n{k}") + 1) / total[k]) for k in ids]).alias("weights"))
+    rows = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c(label_id) == k).alias(f"n{k}") for k in ids])
+    # a class without rows gets the prior of one row, so that all have one
+    priors = rows.select(F.array(*[log(F.greatest(c(f"n{k}"), F.lit(1)) / F.greatest(c("n"), F.lit(1))) for k in ids]).alias("priors"))
+    return Bayes(materialise(weights), materialise(priors), classes)
+
+
+def batch_predict(
+    df: DataFrame, model: Bayes, labels: Sequence[str], id_col: str, text_field: str = "model_input"
+) -> DataFrame:
+    """(id, label id, label, confidence) of every row: the class with the largest sum, the first on a tie, and its
+    probability. Grams that the model has not seen count for no class."""
+    ids, c = range(model.classes), F.col
+    each = with_grams(df, text_field).select(c(id_col).alias("_id"), F.explode("grams").alias("gram"))
+    met = each.join(model.weights, "gram", "left")
+    sums = met.groupBy("_id").agg(*[F.coalesce(F.sum(F.get("weights", F.lit(k))), F.lit(0)).alias(f"s{k}") for k in ids])
+    prior = model.priors.select("priors").scalar()
+    scores = sums.withColumn("scores", F.array(*[c(f"s{k}") + F.get(prior, F.lit(k)) for k in ids]))
+    best = scores.withColumn("best", F.array_max("scores"))
+    place = F.array_position("scores", c("best")) - 1
+    mass = F.aggregate("scores", F.lit(0.0), lambda total, x: total + F.exp((x - c("best")) / UNIT))
+    names = F.array(*[F.lit(name) for name in labels])
+    return best.select(
+        c("_id").alias(id_col),
+        place.cast("bigint").alias("predicted_label_id"),
+        F.get(names, place.cast("int")).alias("predicted_label"),
+        v.rounded(1.0 / mass, 6).alias("confidence"),
+    )
+
+
+def train_regression(
     df: DataFrame,
     text_field: str = "model_input",
     label_id: str = "labels",
@@ -66,7 +129,7 @@ def train_classifier(
     return Pipeline(stages=stages).fit(rows)
 
 
-def batch_predict(
+def predict_regression(
     df: DataFrame, model: PipelineModel, labels: Sequence[str], text_field: str = "model_input"
 ) -> DataFrame:
     """Rows with label id, label and confidence (largest probability)."""

@@ -181,14 +181,13 @@ def oracle(name: str, sql: str, *views: str, **ctes: str) -> None:
 
 for _name in ("scan_csv", "scan_jsonl"):
     oracle(_name, "SELECT * FROM documents")
-for _name in ("sink_csv", "sink_jsonl"):
-    oracle(
-        _name,
-        """SELECT predicted_severity, region, count(*) AS rows, count(DISTINCT problem_id) AS ids,
-           CAST(sum(order_no) AS BIGINT) AS order_sum, CAST(sum(length(kg_standard_name)) AS BIGINT) AS name_chars
-           FROM linked_issues GROUP BY 1, 2""",
-        "linked_issues",
-    )
+oracle("sink_jsonl", "SELECT * FROM linked_issues", "linked_issues")
+oracle(
+    "sink_csv",  # where an empty text and none are the same
+    "SELECT * REPLACE (nullif(kg_standard_id, '') AS kg_standard_id, nullif(kg_clause_id, '') AS kg_clause_id, "
+    "nullif(kg_relation_type, '') AS kg_relation_type, nullif(predicted_category, '') AS predicted_category) FROM linked_issues",
+    "linked_issues",
+)
 
 STANDARD_OF = f"""
     SELECT s.standard_id AS sid, {clean('s.standard_name')} AS standard_name, {clean('s.standard_no')} AS standard_no,
@@ -412,16 +411,15 @@ oracle(
         FROM (SELECT doc_id, '　（a）；' || text || '。 ' AS t FROM documents)""",
 )
 _twice = {name: normalised(normalised(name)) for name in ("text", "device_type", "specialty", "rule_name")}
-oracle(
-    "model_input_build",
-    "SELECT row_pos, concat_ws('；', "
+MODEL_INPUT = (
+    "SELECT row_pos, label, concat_ws('；', "
     + ", ".join(
         f"CASE WHEN {_twice[n]} <> '' THEN {q(words.FIELD_NAMES.get(n, n) + ': ')} || {_twice[n]} END"
         for n in ("device_type", "specialty", "rule_name")
     )
-    + f", {q(words.FIELD_NAMES['text'] + ': ')} || {_twice['text']}) AS model_input FROM doc_issues",
-    "doc_issues",
+    + f", {q(words.FIELD_NAMES['text'] + ': ')} || {_twice['text']}) AS model_input FROM doc_issues"
 )
+oracle("model_input_build", "SELECT row_pos, model_input FROM model_input", "doc_issues", model_input=MODEL_INPUT)
 
 
 def category_case() -> str:
@@ -695,7 +693,10 @@ oracle(
 )
 oracle(
     "join_feature_vector",
-    "SELECT row_pos, sample_id, device_type, vec_id, "
+    """SELECT sample_id, text AS problem_text, coalesce(device_type, '') AS device_type, coalesce(specialty, '') AS supervision_major,
+       coalesce(supervision_stage, '') AS supervision_stage, coalesce(problem_stage, '') AS problem_phase, '' AS pred_level,
+       pred_category, priority_score AS level_confidence, '' AS category_confidence,
+       CASE WHEN toxic = 1 THEN 'true' WHEN toxic = 0 THEN 'false' END AS need_review, vec_id, """
     + ", ".join(f"embedding[{i + 1}] AS cls_{i}" for i in range(64))
     + " FROM doc_issues JOIN embeddings ON row_pos % (SELECT count(*) FROM embeddings) = vec_id",
     "doc_issues",
@@ -1515,3 +1516,35 @@ oracle(
 )
 
 assert all(name in VIEWS for name in ("linked_issues", "doc_issues", "raw_issues"))
+
+# Naive Bayes: weights in millionths, whole numbers on both sides.
+_log = lambda x: f"CAST(round(ln({x}) * 1000000) AS BIGINT)"
+BAYES = {
+    "model_input": MODEL_INPUT,
+    "classes": "SELECT label, row_number() OVER (ORDER BY label) - 1 AS class FROM (SELECT DISTINCT label FROM model_input)",
+    "model_rows": f"""SELECT row_pos, label, class, string_split({text_clean('model_input')}, '') AS letters
+        FROM model_input JOIN classes USING (label)""",
+    "grams": """SELECT row_pos, class, unnest(CASE WHEN len(letters) <= 2 THEN [array_to_string(letters, '')]
+        ELSE list_transform(range(1, len(letters)), lambda i: letters[i] || letters[i + 1]) END) AS gram FROM model_rows""",
+    "seen": "SELECT gram, class, count(*) AS n FROM grams GROUP BY 1, 2",
+    "total": "SELECT class, sum(n) + (SELECT count(DISTINCT gram) FROM seen) AS total FROM seen GROUP BY 1",
+    "weights": f"""SELECT g.gram, t.class, {_log('(coalesce(n, 0) + 1) / total')} AS weight
+        FROM (SELECT DISTINCT gram FROM seen) g, total t LEFT JOIN seen s ON s.gram = g.gram AND s.class = t.class""",
+    "priors": f"SELECT class, {_log('count(*) / (SELECT count(*) FROM model_rows)')} AS prior FROM model_rows GROUP BY 1",
+}
+oracle(
+    "train_classifier",
+    "SELECT gram, class, weight FROM weights UNION ALL SELECT '', class, prior FROM priors",
+    "doc_issues", **BAYES,
+)
+oracle(
+    "batch_predict",
+    f"""SELECT row_pos, r.label AS label_text, best AS predicted_label_id, c.label AS predicted_label, {rnd('confidence', 6)} AS confidence
+        FROM (SELECT row_pos, min_by(class, (-score, class)) AS best, 1 / sum(exp((score - top) / 1000000.0e0)) AS confidence
+              FROM (SELECT *, max(score) OVER (PARTITION BY row_pos) AS top FROM scores) GROUP BY row_pos)
+        JOIN model_rows r USING (row_pos) JOIN classes c ON c.class = best""",
+    "doc_issues", **BAYES,
+    scores="""SELECT row_pos, w.class, CAST(sum(n * weight) AS BIGINT) + any_value(prior) AS score
+        FROM (SELECT row_pos, gram, count(*) AS n FROM grams GROUP BY 1, 2) g JOIN weights w USING (gram) JOIN priors p ON p.class = w.class
+        GROUP BY 1, 2""",
+)

@@ -81,23 +81,13 @@ def scan_jsonl(spark, sf):
 
 @query
 def sink_csv(spark, sf):
-    df = _round_trip(view(spark, sf, "linked_issues").select(*_SINK_COLUMNS), ".csv")
-    return df.groupBy("predicted_severity", "region").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("problem_id").alias("ids"),
-        F.sum("order_no").alias("order_sum"), F.sum(F.length("kg_standard_name")).alias("name_chars"),
-    )
+    """All linked issues, written and read back."""
+    return _round_trip(view(spark, sf, "linked_issues"), ".csv")
 
 
 @query
 def sink_jsonl(spark, sf):
-    df = _round_trip(view(spark, sf, "linked_issues").select(*_SINK_COLUMNS), ".jsonl")
-    return df.groupBy("predicted_severity", "region").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("problem_id").alias("ids"),
-        F.sum("order_no").alias("order_sum"), F.sum(F.length("kg_standard_name")).alias("name_chars"),
-    )
-
-
-_SINK_COLUMNS = ["order_no", "problem_id", "predicted_severity", "region", "kg_standard_name"]
+    return _round_trip(view(spark, sf, "linked_issues"), ".jsonl")
 
 
 def _library(spark, sf):
@@ -239,15 +229,19 @@ def text_normalise(spark, sf):
     )
 
 
-@query
-def model_input_build(spark, sf):
-    docs = view(spark, sf, "doc_issues").select("row_pos", "text", "device_type", "specialty", "rule_name")
+def _model_input(spark, sf):
+    docs = view(spark, sf, "doc_issues").select("row_pos", "text", "device_type", "specialty", "rule_name", "label")
     return cleaning.model_input(
         docs,
         fields=["device_type", "specialty", "rule_name", "absent"],
         aliases=words.FIELD_NAMES,
         terms_map=words.TERMS,
-    ).select("row_pos", "model_input")
+    )
+
+
+@query
+def model_input_build(spark, sf):
+    return _model_input(spark, sf).select("row_pos", "model_input")
 
 
 def _categorised(spark, sf):
@@ -390,11 +384,15 @@ def join_category_prediction(spark, sf):
 
 @query
 def join_feature_vector(spark, sf):
-    """All documents; vectors are dealt to them in turn, so every one has its vector."""
+    """All documents with the eleven issue columns; vectors are dealt to them in turn, so every one has its vector."""
     vectors = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
-    docs = view(spark, sf, "doc_issues").select("row_pos", "sample_id", "device_type")
-    dealt = docs.withColumn("vec_id", F.pmod("row_pos", vectors.select(F.count(F.lit(1))).scalar()))
-    return learning.feature_matrix(dealt, vectors, "vec_id", dim=64)
+    docs = view(spark, sf, "doc_issues").withColumns(
+        {"level_confidence": F.col("priority_score"), "need_review": F.col("toxic") == 1}
+    )
+    count = vectors.select(F.count(F.lit(1))).scalar()
+    place = docs.select(F.col("sample_id"), F.pmod("row_pos", count).alias("vec_id"))
+    issues = learning.feature_columns(docs).join(place, "sample_id")
+    return flags_as_text(learning.feature_matrix(issues, vectors, "vec_id", dim=64))
 
 
 # ----------------------------------------------- text similarity and matching
@@ -818,31 +816,28 @@ def label_encode(spark, sf):
 
 
 def _model_rows(spark, sf):
-    docs = view(spark, sf, "doc_issues").select("row_pos", "text", "label")
-    built = cleaning.model_input(docs).select("row_pos", "label", "model_input")
+    built = _model_input(spark, sf).select("row_pos", "label", "model_input")
     mapping = learning.label_map(built)
     encoded = learning.encode_labels(built, mapping).withColumn("row_pos", F.col("row_pos").cast("bigint"))
     names = [row["label"] for row in mapping.orderBy("label_id").collect()]  # one row per class
-    return materialise(encoded.repartition("row_pos")), names
+    return materialise(encoded), names
 
 
 @query
 def train_classifier(spark, sf):
-    """Scores of a model fitted on all documents, on the same documents."""
+    """The model fitted on all documents: the weight of every gram for every class, and of the classes themselves."""
     rows, names = _model_rows(spark, sf)
-    model = learning.train_classifier(rows)
-    scores = evaluation.eval_metrics(learning.batch_predict(rows, model, names), label="label_text")
-    fitted = model.stages[-1]
-    return scores.withColumns({"classes": F.lit(fitted.numClasses), "features": F.lit(fitted.numFeatures)})
+    model = learning.train_classifier(rows, len(names))
+    whole = model.weights.unionByName(model.priors.select(F.lit("").alias("gram"), F.col("priors").alias("weights")))
+    return whole.select("gram", F.posexplode("weights").alias("class", "weight")).withColumn("class", F.col("class").cast("bigint"))
 
 
 @query
 def batch_predict(spark, sf):
     rows, names = _model_rows(spark, sf)
-    model = learning.train_classifier(rows)
-    return learning.batch_predict(rows, model, names).select(
-        "row_pos", "label_text", "predicted_label_id", "predicted_label", "confidence"
-    )
+    model = learning.train_classifier(rows, len(names))
+    found = learning.batch_predict(rows, model, names, "row_pos")
+    return rows.select("row_pos", "label_text").join(found, "row_pos")
 
 
 @query

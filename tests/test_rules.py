@@ -145,7 +145,7 @@ def test_missing_fields_and_plain_refs(spark):
     assert "kg_relation_confidence" in ranking.missing_fields(df.columns)
     expanded = ranking.expand(df, ["n"]).collect()
     assert [r["kg_standard_name"] for r in expanded] == ["S1", "S2", "S1"]
-    assert {r["problem_id"] for r in expanded} == {"row_1"} and all(r["revision_demand"] for r in expanded)
+    assert {r["problem_id"] for r in expanded} == {"row_2"} and all(r["revision_demand"] for r in expanded)
     ranked = ranking.rank(ranking.expand(df, ["n"])).collect()
     assert [r["related_problem_count"] for r in ranked] == [2, 1] and ranked[0]["clause_missing"]
 

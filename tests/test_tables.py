@@ -1,5 +1,7 @@
 """Sources, sinks, splits, labels, vectors and the classifier."""
 
+import math
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -58,7 +60,21 @@ def test_feature_vectors(spark):
 def test_classifier(spark):
     rows = [(i, "接地线螺栓松动" if i % 2 else "试验报告数据缺失", i % 2) for i in range(40)]
     df = spark.createDataFrame(rows, "n int, model_input string, labels int")
-    model = learning.train_classifier(df, features=256, max_iter=5)
-    out = learning.batch_predict(df, model, ["文档", "安装"]).collect()
+    model = learning.train_regression(df, features=256, max_iter=5)
+    out = learning.predict_regression(df, model, ["文档", "安装"]).collect()
     assert all(r["predicted_label_id"] == r["labels"] and 0.5 < r["confidence"] <= 1 for r in out)
     assert {r["predicted_label"] for r in out} == {"文档", "安装"}
+
+
+def test_naive_bayes(spark):
+    rows = [(0, "aab", 0), (1, "ab", 1), (2, "", 1), (3, "zz", 2)]
+    df = spark.createDataFrame(rows, "n int, model_input string, labels int")
+    model = learning.train_classifier(df, 3)
+    log = lambda x: round(math.log(x) * 1e6)
+    got = {r["gram"]: r["weights"] for r in model.weights.collect()}
+    # five different grams with the empty one: aa, ab (0); ab, '' (1); zz (2)
+    counts = {"aa": (1, 0, 0), "ab": (1, 1, 0), "": (0, 1, 0), "zz": (0, 0, 1)}
+    assert got == {g: [log((n + 1) / (t + 4)) for n, t in zip(c, (2, 2, 1))] for g, c in counts.items()}
+    unseen = spark.createDataFrame([(7, "aa"), (8, "qq"), (9, "zz")], "n int, model_input string")
+    out = {r["n"]: (r["predicted_label"], r["confidence"]) for r in learning.batch_predict(unseen, model, ["x", "y", "z"], "n").collect()}
+    assert out[7][0] == "x" and out[8] == ("y", 0.5) and out[9][0] == "z"
