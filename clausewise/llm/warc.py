@@ -44,6 +44,8 @@ ARCHIVE_BYTES = 256 << 20
 LINES = 2000
 #: Neighbouring records are read at once up to so many bytes.
 READ_BYTES = 4 << 20
+#: Compressed records that a task reads.
+TASK_BYTES = 64 << 20
 LEVEL = 6
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -320,8 +322,12 @@ def fetch(path: str, captures: DataFrame, payloads: bool = True) -> DataFrame:
                     out.append((page_id, payload if payloads else None, *others))
             yield _batch(out, RECORDS)
 
-    places = captures.select("archive", "offset", "length").repartitionByRange("archive", "offset")
-    records = places.sortWithinPartitions("archive", "offset").mapInArrow(run, RECORDS)
+    # the rows are thin, what is read for them is not: tasks by the bytes to read, not by the size of the rows
+    places = materialise(captures.select("archive", "offset", "length"))
+    size = places.agg(F.sum("length")).first()[0] or 0
+    tasks = max(places.sparkSession.sparkContext.defaultParallelism, size // TASK_BYTES + 1)
+    spread = places.repartitionByRange(int(tasks), "archive", "offset").sortWithinPartitions("archive", "offset")
+    records = spread.mapInArrow(run, RECORDS)
     return records if payloads else records.drop("payload")
 
 
