@@ -1,6 +1,7 @@
 """Spans against plain regular expressions and checks."""
 
 import re
+import time
 
 import pytest
 
@@ -75,3 +76,34 @@ def test_empty_and_clashing(spark):
     df = spark.createDataFrame([("a@b.co", 1)], "text string, found int")
     assert pii.find(df).count() == 1
     assert pii.find(df.limit(0)).count() == 0
+
+
+def test_bank_number_before_capitals(spark):
+    texts = [
+        "IBAN DE89 3704 0044 0532 0130 00 NOW PAY", "IBAN GB82WEST12345698765432 BANK 12", "IBAN NO93 8601 1117 947", "IBAN DE89 3704 0044 0532 0130 01 NOW",
+        "IBAN DE89370400440532013000X",
+    ]
+    rows = pii.find(spark.createDataFrame([(t,) for t in texts], "text string")).select("text", pii.joined(pii.F.col("found")).alias("s")).collect()
+    got = {r.text: [x for x in r.s.split(",") if x.startswith("iban")] for r in rows}
+    assert [got[t] for t in texts] == [["iban:5:32"], ["iban:5:27"], ["iban:5:23"], [], []]
+
+
+def test_very_many_numbers(spark):
+    """200,000 matches in one text, in seconds; the places as a plain expression has them."""
+    text = " x ".join(f"{i % 256}.1.2.{i % 300}" for i in range(200_000))
+    begin = time.time()
+    (row,) = pii.find(spark.createDataFrame([(text,)], "text string")).select(pii.joined(pii.F.filter("found", lambda x: x["kind"] == "ip")).alias("s")).collect()
+    assert row.s == base(text) and time.time() - begin < 120
+
+
+def test_context_before_a_match(spark):
+    text = "ä call " + "12 " * 30 + " bank konto +4930123456 x+4930123457" + " " * 50 + "+4930123458, iban +4930123459"
+    docs = spark.createDataFrame([(text,)], "text string")
+    (row,) = pii.find(docs).collect()
+    phones = [x for x in row.found if x.kind == "phone"]
+    kind = next(k for k in pii.KINDS if k.name == "phone")
+    for x in phones:
+        near = text[max(0, x.start - pii.CONTEXT_CHARS) : x.start].lower()
+        want = min(1.0, kind.score + (pii.CONTEXT if re.search(kind.context, near) else 0))
+        assert abs(x.score - want) < 1e-9 and text[x.start : x.end] == x.value
+    assert len(phones) == 4
