@@ -12,6 +12,7 @@ from clausewise import rules
 from clausewise.functions import text as t
 from clausewise.functions import values as v
 from clausewise.operators.numbering import number_rows, padded_id
+from clausewise.session import materialise
 
 
 def rename_issues(
@@ -197,28 +198,32 @@ def model_input(
     return df.withColumn(output, F.concat_ws(field_sep, *parts, last))
 
 
-def top_values(df: DataFrame, column: str, limit: int = 10) -> DataFrame:
-    """Most frequent values, ties by value."""
-    counts = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.orderBy(F.desc("rows"), "value").limit(limit)
-
-
 def dataset_stats(
     raw: DataFrame, prepared: DataFrame, top_columns: Sequence[str] = ("specialty", "supervision_stage")
 ) -> DataFrame:
-    """Long table (item, value, rows): row totals, labels, top ten of some columns."""
-    rows = F.count(F.lit(1)).alias("rows")
-    raw_total = raw.agg(rows).select(F.lit("raw_rows").alias("item"), F.lit("").alias("value"), "rows")
-    kept_total = prepared.agg(rows).select(F.lit("prepared_rows").alias("item"), F.lit("").alias("value"), "rows")
-    signed = raw_total.select("rows").unionByName(kept_total.select((-F.col("rows")).alias("rows")))
-    dropped = signed.agg(F.sum("rows").alias("rows"))
-    dropped = dropped.select(F.lit("dropped_rows").alias("item"), F.lit("").alias("value"), "rows")
-    labels = prepared.groupBy(F.col("label").alias("value")).agg(rows)
-    parts = [labels.select(F.lit("label_distribution").alias("item"), "value", "rows")]
-    for column in top_columns:
-        top = top_values(prepared, column)
-        parts.append(top.select(F.lit(f"{column}_distribution_top10").alias("item"), "value", "rows"))
-    return reduce(DataFrame.unionByName, [raw_total, kept_total, dropped, *parts])
+    """Long table (item, value, rows): row totals, labels, top ten of some columns.
+
+    Every row of either table gives what it adds to each item, dropped rows being those of ``raw`` less those of
+    ``prepared``, so one aggregation over one run of both gives all counts; they are written, and the tops taken from them.
+    """
+    entry = lambda item, rows, value=F.lit(""): F.struct(
+        F.lit(item).alias("item"), value.cast("string").alias("value"), F.lit(rows).cast("bigint").alias("rows")
+    )
+    tops = {f"{c}_distribution_top10": c for c in top_columns}
+    totals = [entry("raw_rows", 0), entry("prepared_rows", 0), entry("dropped_rows", 0)]  # there in empty tables, too
+    given = [
+        (raw.sparkSession.range(1), totals),
+        (raw, [entry("raw_rows", 1), entry("dropped_rows", 1)]),
+        (prepared, [
+            entry("prepared_rows", 1), entry("dropped_rows", -1), entry("label_distribution", 1, F.col("label")),
+            *(entry(item, 1, F.col(c)) for item, c in tops.items()),
+        ]),
+    ]
+    parts = [df.select(F.inline(F.array(*entries))) for df, entries in given]
+    counted = materialise(reduce(DataFrame.unionByName, parts).groupBy("item", "value").agg(F.sum("rows").alias("rows")))
+    place = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("rows"), "value"))
+    best = counted.where(F.col("item").isin(list(tops))).withColumn("_n", place).where("_n <= 10").drop("_n")
+    return counted.where(~F.col("item").isin(list(tops))).unionByName(best)
 
 
 def crosstab(
