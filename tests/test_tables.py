@@ -1,5 +1,6 @@
 """Sources, sinks, splits, labels, vectors and the classifier."""
 
+import hashlib
 import math
 
 import pytest
@@ -78,3 +79,30 @@ def test_naive_bayes(spark):
     unseen = spark.createDataFrame([(7, "aa"), (8, "qq"), (9, "zz")], "n int, model_input string")
     out = {r["n"]: (r["predicted_label"], r["confidence"]) for r in learning.batch_predict(unseen, model, ["x", "y", "z"], "n").collect()}
     assert out[7][0] == "x" and out[8] == ("y", 0.5) and out[9][0] == "z"
+
+
+def test_second_split_is_checked_again(spark):
+    """Of ten rows each, two labels leave one row each and one of a third: valid and test are then taken from all alike."""
+    rows = [(i, "a" if i < 40 else "b" if i < 45 else "c") for i in range(50)]
+    df = spark.createDataFrame(rows, "n int, label string")
+    got = {r["n"]: r["split"] for r in splits.split_stratified(df, "label", "n").collect()}
+    sizes = {name: sum(x == name for x in got.values()) for name in ("train", "valid", "test")}
+    assert sizes == {"train": 40, "valid": 5, "test": 5} and len(got) == 50
+    labels = dict(rows)
+    assert {x: sum(got[n] == "train" for n in got if labels[n] == x) for x in "abc"} == {"a": 32, "b": 4, "c": 4}
+    mark = lambda n: hashlib.sha1(f"42:{n}".encode()).hexdigest()
+    rest = sorted((n for n in got if got[n] != "train"), key=mark)
+    assert [got[n] for n in rest] == ["valid"] * 5 + ["test"] * 5  # in the order of all, not label by label
+
+
+def test_given_splits(spark, tmp_path):
+    frame = lambda ids: spark.createDataFrame([(i, f"t{i}") for i in ids], "id int, text string")
+    given = {"train": frame([1, 2, 2]), "valid": frame([3, None]), "test": frame([4, None]).select("text", "id")}
+    got = splits.given_splits(given, str(tmp_path / "s"), "id")
+    assert {n: sorted(str(r["id"]) for r in df.collect()) for n, df in got.items()} == {
+        "train": ["1", "2", "2"], "valid": ["3", "None"], "test": ["4", "None"],
+    }
+    with pytest.raises(ValueError, match="two splits"):
+        splits.given_splits({**given, "test": frame([2])}, str(tmp_path / "t"), "id")
+    with pytest.raises(ValueError, match="columns"):
+        splits.given_splits({**given, "test": frame([9]).withColumn("x", F.lit(1))}, str(tmp_path / "t"), "id")
