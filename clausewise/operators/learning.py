@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from clausewise.functions import text as t
 from clausewise.functions import values as v
-from clausewise.operators.joins import lookup_join
 from clausewise.session import materialise
 
 VECTOR_DIM = 768
@@ -42,7 +41,7 @@ def encode_labels(df: DataFrame, labels: DataFrame, label_field: str = "label")
     plain = df.select(*texts, F.col(label_field).cast("string").alias("label_text"))
     known = labels.select(F.col("label").alias("label_text"), F.col("label_id").alias("labels"))
     unknown = F.raise_error(F.concat(F.lit("label outside the mapping: "), F.coalesce("label_text", F.lit("null"))))
-    joined = lookup_join(plain, known, ["label_text"], "left")
+    joined = plain.join(known, "label_text", "left")
     return joined.withColumn("labels", F.coalesce("labels", unknown.cast("bigint")))
 
 

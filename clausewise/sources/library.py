@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from clausewise import rules
 from clausewise.functions import values as v
-from clausewise.operators.joins import lookup_join
 from clausewise.operators.stages import canonical_stage
 
 STANDARD_FIELDS = ["standard_name", "standard_no", "standard_status", "domain", "risk_level"]
@@ -65,7 +64,7 @@ def clauses_with_standard(clauses: DataFrame, standards: DataFrame) -> DataFrame
         .select("standard_id", "s.*")
     )
     keyed = clauses.withColumn("standard_id", _column(clauses, "standard_id"))
-    joined = lookup_join(keyed, by_id, ["standard_id"], "left")
+    joined = keyed.join(by_id, "standard_id", "left")
     return joined.na.fill("", [*STANDARD_FIELDS, "standard_equipment"])
 
 
@@ -145,7 +144,7 @@ def point_links(nodes: DataFrame, links: DataFrame, point_node: str = rules.POIN
         F.col("pos").alias("link_pos"),
     )
     # Ends that are no node still count: their texts are blank.
-    found = lookup_join(lookup_join(ends, points, ["point_id"]), around, ["other_id"], "left")
+    found = ends.join(points, "point_id").join(around, "other_id", "left")
     return found.na.fill("", ["other_label", "other_reference", "other_text"])
 
 

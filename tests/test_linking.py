@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from clausewise.operators import graph, joins, linking
+from clausewise.operators import graph, linking
 from clausewise.sources import library, tables
 from tests import fixtures as fx
 
@@ -92,15 +92,6 @@ def test_equipment_paths_agree_with_brute_force(spark):
         assert {r["n"]: r["equipment"] for r in out.collect()} == expected
 
 
-def test_salted_join_equals_broadcast(spark):
-    large = spark.range(900).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 5).cast("string")).alias("k"))
-    small = spark.createDataFrame([("hot", 1), ("hot", 2), ("1", 3), ("unused", 4)], "k string, x int")
-    for how in ("inner", "left"):
-        broadcast = joins.lookup_join(large, small, ["k"], how)
-        salted = joins.lookup_join(large, small, ["k"], how, limit=-1, salts=4)
-        assert sorted(map(str, broadcast.collect())) == sorted(map(str, salted.collect()))
-
-
 def test_linking_without_broadcast(spark):
     standards = spark.createDataFrame([(i, *s) for i, s in enumerate(fx.STANDARDS)], "pos int, " + fx.STANDARD_SCHEMA)
     clauses = spark.createDataFrame([(i, *c) for i, c in enumerate(fx.CLAUSES)], "pos int, " + fx.CLAUSE_SCHEMA)
