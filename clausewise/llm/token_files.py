@@ -4,7 +4,7 @@ Documents are range-partitioned and sorted by doc_id. A segment holds the ids of
 consecutive documents end to end, as unsigned 16-bit integers if the vocabulary
 allows (else 32-bit), and the place where each document ends as an Elias-Fano
 sequence: low bits packed, high bits in unary, and the place of every 64th one
-bit. A segment closes when it is full; only a single longer document makes a longer one.
+bit, from which select finds where a document begins and ends. A segment closes when it is full; only a single longer document makes a longer one.
 Segments are rows of a Parquet table that Spark's writer commits, so retried tasks leave no trace
 and any store that Spark writes to will do.
 
@@ -59,6 +59,11 @@ def ef_encode(ends: np.ndarray) -> tuple[int, bytes, bytes, bytes]:
     )
 
 
+#: Ones in a byte, and the place of its k-th one.
+_ONES = np.array([x.bit_count() for x in range(256)], np.int64)
+_PLACE = np.array([([i for i in range(8) if x >> i & 1] + [0] * 8)[:8] for x in range(256)], np.int64)
+
+
 class Boundaries:
     """Elias-Fano sequence with select."""
 
@@ -86,8 +91,29 @@ class Boundaries:
         word = int.from_bytes(self.low[at // 8 : (at + self.bits + 7) // 8].tobytes(), "little")
         return (one - k) << self.bits | word >> at % 8 & (1 << self.bits) - 1
 
+    def select_many(self, ks: np.ndarray) -> np.ndarray:
+        """``select`` of many places at once: each from its sample on, byte by byte, all of them in step."""
+        if not len(ks):
+            return np.zeros(0, np.int64)
+        start = self.samples[ks // SELECT_EVERY].astype(np.int64)
+        left, byte = ks % SELECT_EVERY, start // 8
+        seen = self.high[byte] >> (start % 8).astype(np.uint8) << (start % 8).astype(np.uint8)
+        ahead = np.arange(len(ks))
+        while len(ahead := ahead[left[ahead] >= _ONES[seen[ahead]]]):
+            left[ahead] -= _ONES[seen[ahead]]
+            byte[ahead] += 1
+            seen[ahead] = self.high[byte[ahead]]
+        one = 8 * byte + _PLACE[seen, left]
+        at = ks.astype(np.int64) * self.bits
+        low = np.concatenate([self.low, np.zeros(8, np.uint8)])
+        word = np.zeros(len(ks), np.uint64)
+        for i in range((self.bits + 14) // 8):
+            word |= low[at // 8 + i].astype(np.uint64) << np.uint64(8 * i)
+        word = word >> (at % 8).astype(np.uint64) & np.uint64((1 << self.bits) - 1)
+        return (one - ks << self.bits) + word.astype(np.int64)
+
     def all(self) -> np.ndarray:
-        """All values at once, for scans."""
+        """All values at once, by unpacking every bit."""
         ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
         low = np.unpackbits(self.low, bitorder="little")[: self.n * self.bits].reshape(self.n, self.bits)
         low = (low.astype(np.int64) << np.arange(self.bits)).sum(axis=1) if self.bits else 0
@@ -174,7 +200,8 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
         for batch in small_batches(batches, 1):
             row = batch.to_pylist()[0]
             n = row["n_docs"]
-            ends = Boundaries(n, row["low_bits"], row["low"], row["high"], row["samples"]).all()
+            bounds = Boundaries(n, row["low_bits"], row["low"], row["high"], row["samples"])
+            ends = bounds.select_many(np.arange(n))
             begins = np.concatenate([[0], ends[:-1]])
             null = np.unpackbits(np.frombuffer(row["doc_ids"], np.uint8, offset=8 * n), bitorder="little")[:n] == 1
             ids = np.frombuffer(row["ids"], f"<u{row['width']}")
@@ -196,6 +223,48 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_documents(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """(doc_id, ids) of the documents whose doc_id is in ``wanted``; only the segments that hold one are read.
+
+    Every row that was written with such an id is returned; ids in ``wanted`` may repeat, null is none. Where a document
+    begins and ends is found by select, without unpacking the segment.
+    """
+    segments = spark.read.parquet(path)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 1):
+            row = batch.to_pylist()[0]
+            n = row["n_docs"]
+            null = np.unpackbits(np.frombuffer(row["doc_ids"], np.uint8, offset=8 * n), bitorder="little")[:n] == 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([row["part"]] * n, pa.int64()), pa.array([row["segment"]] * n, pa.int64()),
+                    pa.array(np.arange(n)), pa.array(np.frombuffer(row["doc_ids"], "<i8", n), mask=null),
+                ],
+                ["part", "segment", "k", "doc_id"],
+            )
+
+    thin = segments.select("part", "segment", "n_docs", "doc_ids").mapInArrow(places, "part long, segment long, k long, doc_id long")
+    ids = wanted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    found = thin.join(ids, "doc_id").groupBy("part", "segment").agg(F.collect_list("k").alias("ks"))  # of one segment
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 1):
+            row = batch.to_pylist()[0]
+            ks, n = np.sort(np.array(row["ks"], np.int64)), row["n_docs"]
+            bounds = Boundaries(n, row["low_bits"], row["low"], row["high"], row["samples"])
+            ends = bounds.select_many(ks)
+            begins = np.where(ks > 0, bounds.select_many(np.maximum(ks - 1, 0)), 0)
+            values = np.frombuffer(row["ids"], f"<u{row['width']}")
+            names = np.frombuffer(row["doc_ids"], "<i8", n)[ks]
+            lists = [values[a:b].astype(np.int64) for a, b in zip(begins, ends)]
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(lists, pa.list_(pa.int64()))], ["doc_id", "ids"])
+
+    held = segments.join(found, ["part", "segment"])
+    columns = ["ks", "n_docs", "width", "doc_ids", "low_bits", "low", "high", "samples", "ids"]
+    return held.select(columns).mapInArrow(cut, "doc_id long, ids array<long>")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents, read the files back."""
     path = shared_dir(spark)

@@ -124,6 +124,17 @@ def test_token_files(spark, segment_ids):
     assert got == want
 
 
+@pytest.mark.parametrize("segment_ids", [40, 1 << 20])
+def test_read_documents(spark, segment_ids):
+    docs = frame(spark)
+    path = shared_dir(spark)
+    token_files.write_segments(docs, path, TEXT, segment_ids=segment_ids)
+    wanted = docs.where("doc_id % 3 = 0").select("doc_id").union(spark.createDataFrame([(None,), (10**12,)], "doc_id long"))
+    got = sorted((r.doc_id, r.ids) for r in token_files.read_documents(spark, path, wanted.union(wanted)).collect())
+    rows = [r for r in docs.collect() if r.doc_id is not None and r.doc_id % 3 == 0]
+    assert got == sorted((r.doc_id, [*library(r.text or ""), 2]) for r in rows) and got
+
+
 @given(st.lists(st.integers(0, 5000), max_size=300))
 @settings(max_examples=100, deadline=None)
 def test_elias_fano(steps):
@@ -131,5 +142,7 @@ def test_elias_fano(steps):
     bits, low, high, samples = token_files.ef_encode(values)
     read = token_files.Boundaries(len(values), bits, low, high, samples)
     assert [read.select(k) for k in range(len(values))] == values.tolist() == list(read.all())
+    places = np.array([*range(len(values)), *range(0, len(values), 7)], np.int64)
+    assert read.select_many(places).tolist() == values[places].tolist()
     if len(values) > 200:
         assert len(low) + len(high) + len(samples) < 4 * len(values)
