@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -41,19 +42,50 @@ def clean_text(c: Column) -> Column:
     return known(one_line(c))
 
 
+#: Parts of a date format, the longest first, with the sign that stands for them in a shape.
+FORMAT_PARTS = {
+    "yyyyMMddHHmmss": "f", "yyyyMMdd": "e", "yyyy": "y", "MMM": "a", "'T'": "a", "yy": "d", "MM": "d", "dd": "d", "HH": "d",
+    "hh": "d", "mm": "d", "ss": "d", "M": "d", "d": "d", "H": "d", "h": "d", "a": "a",
+}
+#: The same for what is written: words, then runs of digits by their length.
+SHAPES = [("[A-Za-z]+", "a"), *((rf"(?<![0-9])[0-9]{{{n}}}(?![0-9])", sign) for n, sign in (("1,2", "d"), ("4", "y"), ("8", "e"), ("14", "f")))]
+
+
+def shape_of_format(form: str) -> str:
+    return re.sub("|".join(map(re.escape, FORMAT_PARTS)), lambda x: FORMAT_PARTS[x[0]], form)
+
+
 def date_of(line: Column, formats: Sequence[str] = tuple(rules.DATE_FORMATS)) -> Column:
     """Date as yyyy-MM-dd; what is no date in any format stays as it is.
 
     Fractions of seconds, zones, weekdays and ordinal endings say nothing about the day that is
-    written, and are taken off before the formats are tried; month names are cut to three letters.
+    written, and are taken off before; month names are cut to three letters. The shape of what is left (words
+    and runs of digits by their length, other signs as they are) picks the format, so a value is parsed once and
+    one of another shape not at all; formats of the same shape are tried in their order.
     """
     plain = F.regexp_replace(line, rules.DATE_TAIL, "$1")
     plain = F.regexp_replace(plain, rules.DATE_WEEKDAY, "")
     plain = F.regexp_replace(plain, rules.DATE_ORDINAL, "$1")
     plain = F.initcap(F.regexp_replace(plain, rules.DATE_MONTH, "$1"))
     plain = F.regexp_replace(plain, r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})[Tt ] *", "$1 ")
-    parsed = F.coalesce(*[F.try_to_timestamp(plain, F.lit(form)) for form in formats])
-    return F.coalesce(F.date_format(parsed, "yyyy-MM-dd"), line)
+    shape = plain
+    for pattern, sign in SHAPES:
+        shape = F.regexp_replace(shape, pattern, sign)
+    by_shape: dict[str, list[str]] = {}
+    for form in formats:
+        by_shape.setdefault(shape_of_format(form), []).append(form)
+
+    def parsed(x: Column) -> Column:
+        out = F.lit(None).cast("timestamp")
+        for known_shape, forms in by_shape.items():
+            out = F.when(x["shape"] == known_shape, F.coalesce(*[F.try_to_timestamp(x["plain"], F.lit(f)) for f in forms])).otherwise(out)
+        return F.date_format(out, "yyyy-MM-dd")
+
+    # one element long, so that both parts are worked out once
+    found = F.transform(F.array(F.struct(plain.alias("plain"), shape.alias("shape"))), parsed)
+    # without a digit or above the longest spelling there is no date to look for
+    may = line.rlike("[0-9]") & (F.length(line) <= rules.DATE_CHARS)
+    return F.coalesce(F.when(may, F.get(found, F.lit(0))), line)
 
 
 def clean_columns(df: DataFrame, texts: Sequence[str], dates: Sequence[str] = ()) -> DataFrame:

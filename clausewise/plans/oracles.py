@@ -327,11 +327,11 @@ oracle(
 )
 oracle(
     "issue_clean_date",
-    f"""SELECT o_orderkey, CASE WHEN k IN (9, 10, 11, 12, 13, 14, 16, 17, 18, 19, 20, 21) THEN strftime(o_orderdate, '%Y-%m-%d')
+    f"""SELECT o_orderkey, CASE WHEN k IN (9, 10, 11, 12, 13, 14, 16, 17, 18, 19, 20, 21, 23, 24) THEN strftime(o_orderdate, '%Y-%m-%d')
         WHEN k = 15 THEN strftime(o_orderdate, '%Y-%m-01') WHEN k = 22 THEN strftime(o_orderdate, '%Y年%-m月')
         ELSE {day('event_time')} END AS event_time FROM spelled""",
     spelled="""
-      SELECT o_orderkey, o_orderdate, o_orderkey % 23 AS k, CASE o_orderkey % 23
+      SELECT o_orderkey, o_orderdate, o_orderkey % 25 AS k, CASE o_orderkey % 25
         WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y/%-m/%-d')
         WHEN 2 THEN strftime(o_orderdate, '%Y.%m.%d') WHEN 3 THEN strftime(o_orderdate, '%Y%m%d')
         WHEN 4 THEN strftime(o_orderdate, '%-m/%-d/%Y') WHEN 5 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')

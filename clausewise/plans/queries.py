@@ -142,7 +142,7 @@ def issue_clean_text(spark, sf):
 @query
 def issue_clean_date(spark, sf):
     """Order dates in several spellings, and some that are no dates."""
-    day, k = F.to_date("o_orderdate"), F.col("o_orderkey") % 23
+    day, k = F.to_date("o_orderdate"), F.col("o_orderkey") % 25
     spelled = (
         F.when(k == 0, F.date_format(day, "yyyy-MM-dd"))
         .when(k == 1, F.date_format(day, "yyyy/M/d"))
@@ -166,6 +166,8 @@ def issue_clean_date(spark, sf):
         .when(k == 20, F.date_format(day, "EEEE, MMMM d, yyyy"))
         .when(k == 21, F.date_format("o_orderdate", "yyyy/M/d HH:mm"))
         .when(k == 22, F.concat(F.date_format(day, "yyyy"), F.lit("年"), F.date_format(day, "M"), F.lit("月")))
+        .when(k == 23, F.date_format("o_orderdate", "M/d/yyyy h:mm a"))
+        .when(k == 24, F.date_format("o_orderdate", "yyyy-MM-dd hh:mm:ss a"))
     )
     orders = table(spark, sf, "orders").select("o_orderkey", spelled.alias("event_time"))
     return cleaning.clean_columns(orders, [], ["event_time"])

@@ -60,7 +60,7 @@ ID_PREFIX = "real_v1_"
 CATEGORY_TAG = "problem_category_rule_v1"
 REVIEWED_TAG = "feedback_reviewed"
 
-# Date spellings accepted by the cleaner, tried in this order.
+# Date spellings accepted by the cleaner; those of the same shape are tried in this order.
 DATE_FORMATS = [
     "yyyy-M-d",
     "yyyy/M/d",
@@ -86,7 +86,14 @@ DATE_FORMATS = [
     "yyyy MMM d",
     "MMM d, yyyy H:mm:ss",
     "d MMM yyyy H:mm:ss",
+    "M/d/yyyy h:mm a",
+    "M/d/yyyy h:mm:ss a",
+    "yyyy-M-d h:mm a",
+    "yyyy-M-d h:mm:ss a",
+    "yyyy/M/d h:mm:ss a",
 ]
+# No date is written in more characters.
+DATE_CHARS = 80
 # What is taken off a date before the formats are tried.
 DATE_TAIL = r"(?i)([0-9]:[0-9]{2}(?::[0-9]{2})?)(?:[.,][0-9]+)? *(?:z|utc|gmt|[+-][0-9]{2}:?[0-9]{2})?$"
 DATE_WEEKDAY = r"(?i)^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,? +"
