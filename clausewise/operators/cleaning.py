@@ -111,8 +111,10 @@ def drop_repeats(
     """First row per key; ``order_by`` is unique together.
 
     The keys of a row are one 128-bit digest, and the least order per digest is a hash aggregation of thin
-    rows that every task does before the shuffle. The rows kept are then found by their order alone.
+    rows that every task does before the shuffle. The rows kept are then found by their order alone. The rows
+    are written first, so that what made them (cleaning, mostly) is done once.
     """
+    df = materialise(df)
     part = lambda c: F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-"))
     digest = F.substring(F.sha2(F.concat(*[part(F.col(f"`{k}`").cast("string")) for k in keys]), 256), 1, 32)
     order = [F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order_by)]
