@@ -163,11 +163,10 @@ def by_equipment(issues: DataFrame, points: DataFrame, names: DataFrame) -> tupl
     return key(issues.where((F.col("equipment") != "") | ~any_name)), key(points)
 
 
-def candidate_counts(issues: DataFrame, points: DataFrame, names: DataFrame, id_col: str) -> DataFrame:
-    """(id, equipment, number of candidate clauses) of every issue that has any."""
-    left, right = by_equipment(issues.select(id_col, "equipment"), points.select("equipment"), names)
-    sizes = right.groupBy("equipment").agg(F.count(F.lit(1)).alias("candidates"))
-    return left.join(sizes, "equipment").select(id_col, "equipment", "candidates")
+def candidates(issues: DataFrame, points: DataFrame, names: DataFrame, id_col: str) -> DataFrame:
+    """(id, equipment, point_id) of every issue and each clause it is compared with."""
+    left, right = by_equipment(issues.select(id_col, "equipment"), points.select("equipment", "point_id"), names)
+    return left.join(right, "equipment").select(id_col, "equipment", "point_id")
 
 
 # ---------------------------------------------------------------------- score

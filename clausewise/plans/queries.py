@@ -344,11 +344,11 @@ def join_equipment_contains(spark, sf):
 
 @query
 def join_candidates(spark, sf):
-    """How many clauses each issue is compared with."""
+    """Every issue with each clause it is compared with."""
     docs = view(spark, sf, "doc_issues").select("row_pos", "device_type", "rule_name")
     names = library.equipment_of_library(*_library(spark, sf))
     found = linking.with_equipment(docs, names, "row_pos").select("row_pos", "equipment")
-    return linking.candidate_counts(found, _points(spark, sf), names, "row_pos")
+    return linking.candidates(found, _points(spark, sf), names, "row_pos")
 
 
 def _links(spark, sf, **options):

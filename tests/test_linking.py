@@ -92,6 +92,16 @@ def test_equipment_paths_agree_with_brute_force(spark):
         assert {r["n"]: r["equipment"] for r in out.collect()} == expected
 
 
+def test_candidates_are_all_pairs(spark):
+    issues = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "")], "row_pos long, equipment string")
+    points = spark.createDataFrame([("p", "a"), ("q", "a"), ("r", "c")], "point_id string, equipment string")
+    names = spark.createDataFrame([("a",), ("b",)], "name string")
+    found = linking.candidates(issues, points, names, "row_pos")
+    assert sorted(map(tuple, found.collect())) == [(1, "a", x) for x in "ppqq"]
+    every = linking.candidates(issues, points, names.limit(0), "row_pos")
+    assert every.count() == 4 * 3
+
+
 def test_linking_without_broadcast(spark):
     standards = spark.createDataFrame([(i, *s) for i, s in enumerate(fx.STANDARDS)], "pos int, " + fx.STANDARD_SCHEMA)
     clauses = spark.createDataFrame([(i, *c) for i, c in enumerate(fx.CLAUSES)], "pos int, " + fx.CLAUSE_SCHEMA)
