@@ -15,6 +15,8 @@ CSV_READ = {"multiLine": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailing
 CSV_WRITE = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""'}
 # Line breaks of texts as a backslash and a letter, so that a line is a row and many tasks can read one file.
 BREAKS = [("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")]
+#: Rows of a compressed file at most.
+ROWS_PER_FILE = 250_000
 KINDS = {".csv": "csv", ".jsonl": "jsonl", ".parquet": "parquet"}
 
 
@@ -63,25 +65,36 @@ def _without_breaks(c: Column) -> Column:
 
 
 def _with_breaks(c: Column) -> Column:
-    """An escaped backslash is set apart first, so that it never makes a break with the letter after it."""
+    """An escaped backslash is set apart first, so that it never makes a break with the letter after it.
+
+    Only texts with a backslash are looked into.
+    """
     parts = F.split(c, r"\\\\")
     for plain, escaped in BREAKS[1:]:
         parts = _each(parts, escaped, plain)
-    return F.array_join(parts, "\\")
+    return F.when(c.contains("\\"), F.array_join(parts, "\\")).otherwise(c)
 
 
 def _each(parts: Column, old: str, new: str) -> Column:
     return F.transform(parts, lambda x: F.replace(x, F.lit(old), F.lit(new)))
 
 
-def write_table(df: DataFrame, path: str, file_type: str | None = None, *, escaped_breaks: bool = False) -> str:
-    """Write a folder of part files, replacing what was there; parents are made."""
+def write_table(
+    df: DataFrame, path: str, file_type: str | None = None, *, escaped_breaks: bool = False, compression: str | None = None
+) -> str:
+    """Write a folder of part files, replacing what was there; parents are made.
+
+    ``compression`` names a codec for JSON lines, which repeat the column names in every row. One task reads a compressed
+    file, so none has more than ROWS_PER_FILE rows.
+    """
     kind = kind_of(path, file_type)
     writer = df.write.mode("overwrite")
     if kind == "csv":
         df = _on_texts(df, _without_breaks) if escaped_breaks else df
         df.write.mode("overwrite").options(**CSV_OPTIONS, **CSV_WRITE).csv(path)
     elif kind == "jsonl":
+        if compression:
+            writer = writer.option("compression", compression).option("maxRecordsPerFile", ROWS_PER_FILE)
         writer.option("ignoreNullFields", False).json(path)
     else:
         writer.parquet(path)

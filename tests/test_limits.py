@@ -44,3 +44,16 @@ def test_line_breaks_and_several_tasks(spark):
         assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_packed_json_lines(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(tables, "ROWS_PER_FILE", 300)
+    rows = [(i, None if i % 5 == 0 else "标准 \n\\ \"x\" " * 20, i / 7) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, a_rather_long_name string, n double").coalesce(1)
+    sizes = []
+    for name, codec in (("plain", None), ("packed", "lz4")):
+        path = tables.write_table(df, str(tmp_path / f"{name}.jsonl"), compression=codec)
+        back = tables.read_table(spark, path, df.schema)
+        assert sorted(map(tuple, back.collect())) == rows
+        sizes.append([x.stat().st_size for x in (tmp_path / f"{name}.jsonl").glob("part-*")])
+    assert len(sizes[1]) == 4 and sum(sizes[1]) * 3 < sum(sizes[0])
