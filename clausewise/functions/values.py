@@ -31,6 +31,13 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
 
+def _stripped(name: str) -> Column:
+    """A column as stripped text; what begins and ends with a printable ASCII letter is not looked into."""
+    text = f"CAST(`{name}` AS STRING)"
+    plain = " AND ".join(f"{end} >= '!' AND {end} < '\x7F'" for end in (text, f"substr({text}, -1)"))
+    return F.expr(f"CASE WHEN {plain} THEN {text} ELSE btrim({text}, '{BLANKS}') END")
+
+
 def text_of(c: Column) -> Column:
     """Value as text, stripped; null is ''."""
     return strip(F.coalesce(c.cast("string"), F.lit("")))
@@ -67,7 +74,7 @@ def with_filled(df: DataFrame, names: Iterable[str], prefix: str = "") -> DataFr
     it.  With a prefix the originals stay and copies are added.
     """
     present = [name for name in dict.fromkeys(names) if name in df.columns]
-    stripped = {prefix + name: F.expr(f"btrim(CAST(`{name}` AS STRING), '{BLANKS}')") for name in present}
+    stripped = {prefix + name: _stripped(name) for name in present}
     df = df.withColumns(stripped)
     return df.withColumns({prefix + name: _unless_empty_column(prefix + name) for name in present})
 
@@ -163,6 +170,20 @@ def first_share(df: DataFrame, names: Iterable[str]) -> Column:
     return F.coalesce(*parts, F.lit(0.0))
 
 
+def number_of(df: DataFrame, name: str) -> Column:
+    """``to_number`` of a column; doubles and whole numbers don't become text on the way."""
+    kind, c = df.schema[name].dataType.simpleString(), F.col(f"`{name}`")
+    if kind == "double":
+        return F.when(F.abs(c) < float("inf"), c)
+    return c.cast("double") if kind in ("tinyint", "smallint", "int", "bigint") else to_number(c)
+
+
+def flag_of(df: DataFrame, name: str) -> Column:
+    """``is_flag`` of a column; booleans are taken as they are."""
+    c = F.col(f"`{name}`")
+    return F.coalesce(c, F.lit(False)) if df.schema[name].dataType.simpleString() == "boolean" else is_flag(c)
+
+
 def is_flag(c: Column) -> Column:
     """Plain boolean words; null is false."""
     return F.coalesce(F.lower(strip(c.cast("string"))).isin(rules.FLAG_WORDS), F.lit(False))

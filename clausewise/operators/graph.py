@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clausewise import rules
 from clausewise.functions import values as v
 from clausewise.operators.decision import LABEL_FIELDS, confirmed_label_columns
+from clausewise.session import materialise
 
 # ---------------------------------------------------------------- fixed values
 # Exported columns that are read through an alias list.
@@ -239,14 +240,26 @@ def _table_ids(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     )
 
 
+def _by_slot(ids: DataFrame, slots: Sequence[Column]) -> DataFrame:
+    """The nodes or edges of all issues, each slot from a reading of its own.
+
+    A task has the rows of one slot and sorts no more than those, and reads the columns of that slot only.
+    ``tie`` is the place in which a row was written, for issues of the same order.
+    """
+    ids = materialise(ids.withColumn("tie", F.monotonically_increasing_id()))
+    order = [name for name in ids.columns if name.startswith("order_")]
+    parts = [ids.select(*order, "tie", F.lit(i).alias("slot"), x.alias("x")).filter("x IS NOT NULL") for i, x in enumerate(slots)]
+    return reduce(DataFrame.unionByName, [part.select(*order, "slot", "tie", "x.*") for part in parts])
+
+
 def _first_per(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """First row per keys in (issue order, slot) order.
+    """First row per keys in (issue order, slot, tie) order.
 
     Nodes such as a category occur in a large share of all rows; the rank limit
     is applied before the shuffle, so each task sends every key at most once.
     """
     order = sorted(c for c in df.columns if c.startswith("order_"))
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, "slot"))
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, "slot", "tie"))
     return df.withColumn("_n", first).filter("_n = 1").select(*columns)
 
 
@@ -264,7 +277,7 @@ def node_table(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
             F.struct(c(id_).alias("node_id"), F.lit(kind).alias("node_type"), name.alias("name"), *content),
         )
 
-    slots = F.array(
+    slots = [
         node("problem_id", "Problem", F.replace(c("problem_id"), F.lit("Problem:"), F.lit("")), text=optional("text")),
         node(
             "standard_id", "Standard", F.coalesce(optional("standard_name"), c("standard_id")),
@@ -278,10 +291,8 @@ def node_table(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
         node("equipment_id", "Equipment", c("equipment")),
         node("need_id", "RevisionNeed", c("need")),
         node("priority_id", "RevisionPriority", c("priority")),
-    )
-    order = [name for name in ids.columns if name.startswith("order_")]
-    rows = ids.select(*order, F.posexplode(slots).alias("slot", "x")).filter("x IS NOT NULL")
-    return _first_per(rows.select(*order, "slot", "x.*"), ["node_id"], NODE_COLUMNS)
+    ]
+    return _first_per(_by_slot(ids, slots), ["node_id"], NODE_COLUMNS)
 
 
 def edge_table(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
@@ -308,14 +319,12 @@ def edge_table(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
             ),
         )
 
-    slots = F.array(
+    slots = [
         edge("problem_id", "clause_id", "PROBLEM_MATCHES_CLAUSE", optional("confidence"), optional("reason")),
         edge("clause_id", "standard_id", "CLAUSE_BELONGS_TO_STANDARD"),
         edge("problem_id", "category_id", "PROBLEM_HAS_CATEGORY"),
         edge("problem_id", "equipment_id", "PROBLEM_INVOLVES_EQUIPMENT"),
         edge("problem_id", "need_id", "PROBLEM_TRIGGERS_REVISION_NEED"),
         edge("standard_id", "priority_id", "STANDARD_HAS_REVISION_PRIORITY"),
-    )
-    order = [name for name in ids.columns if name.startswith("order_")]
-    rows = ids.select(*order, F.posexplode(slots).alias("slot", "x")).filter("x IS NOT NULL")
-    return _first_per(rows.select(*order, "slot", "x.*"), ["source_id", "target_id", "relation_type"], EDGE_COLUMNS)
+    ]
+    return _first_per(_by_slot(ids, slots), ["source_id", "target_id", "relation_type"], EDGE_COLUMNS)

@@ -57,3 +57,35 @@ def test_packed_json_lines(spark, monkeypatch, tmp_path):
         assert sorted(map(tuple, back.collect())) == rows
         sizes.append([x.stat().st_size for x in (tmp_path / f"{name}.jsonl").glob("part-*")])
     assert len(sizes[1]) == 4 and sum(sizes[1]) * 3 < sum(sizes[0])
+
+
+def test_nodes_and_edges_by_slot(spark):
+    rows = [(i // 2, f"I{i % 30}" if i % 7 else None, f"t{i % 9}", f"kind {i % 5}", f"S{i % 4}", f"name {i}", f"C{i % 6}") for i in range(200)]
+    df = spark.createDataFrame(
+        rows, "row_pos long, issue_id string, text string, issue_category string, kg_standard_id string, standard_name string, kg_clause_id string"
+    )
+    nodes = graph.node_table(df, ["row_pos", "text"])
+    assert "Generate" not in nodes._jdf.queryExecution().executedPlan().toString()  # no task sorts all slots of its rows
+    first = {}
+    for r in sorted(rows, key=lambda r: (r[0], r[2])):
+        first.setdefault(f"Standard:{r[4]}", r[5])
+    found = {r.node_id: r.name for r in nodes.collect()}
+    assert {k: x for k, x in found.items() if k.startswith("Standard:")} == first
+    want = {("I", r[1]) if r[1] else ("t", r[2]) for r in rows} | {("c", r[3]) for r in rows} | {("C", r[6]) for r in rows}
+    assert len(found) == len(want) + len(first)
+
+
+def test_blanks_at_one_end(spark):
+    texts = ["a", " a", "a\u3000", "\x85a", "a\x1f", "标准", "\u2003标准 ", "a 标", "a\x7f", "", " ", "none", " nan", None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "n int, x string")
+    got = [r.x for r in v.with_filled(df, ["x"]).orderBy("n").collect()]
+    assert got == ["a", "a", "a", "a", "a", "标准", "标准", "a 标", "a\x7f", None, None, None, None, None]
+
+
+def test_numbers_and_flags_by_type(spark):
+    rows = [(0.25, True, 3), (float("nan"), False, None), (float("inf"), None, -1), (None, True, 0), (1e-7, False, 10**15)]
+    df = spark.createDataFrame(rows, "d double, b boolean, n bigint")
+    plan = df.select(v.number_of(df, "d"), v.flag_of(df, "b"), v.number_of(df, "n"))
+    assert "regexp" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    both = df.select(v.number_of(df, "d"), v.to_number(F.col("d")), v.flag_of(df, "b"), v.is_flag(F.col("b")), v.number_of(df, "n"), v.to_number(F.col("n")))
+    assert all(r[0] == r[1] and r[2] == r[3] and r[4] == r[5] for r in both.collect())
