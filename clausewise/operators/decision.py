@@ -61,7 +61,7 @@ def attach_category(
 
 def review_flag(df: DataFrame, threshold: float = rules.REVIEW_THRESHOLD) -> Column:
     """Flagged already, or one of both confidences below the threshold (missing counts as sure)."""
-    flag = v.is_flag(F.col("need_manual_review")) if "need_manual_review" in df.columns else F.lit(False)
+    flag = v.flag_of(df, "need_manual_review") if "need_manual_review" in df.columns else F.lit(False)
     for name in ("level_confidence", "category_confidence"):
         flag = flag | (F.coalesce(v.number_in(df, name), F.lit(1.0)) < threshold)
     return flag
@@ -133,7 +133,7 @@ def with_advice(df: DataFrame, suggestion_rules: Mapping = rules.SUGGESTION_RULE
     flagged = F.lit(False)
     for name in ("need_review", "need_manual_review"):
         if name in df.columns:
-            flagged = flagged | v.is_flag(F.col(name))
+            flagged = flagged | v.flag_of(df, name)
     label = v.first_filled(df, ["priority_label"])
     return df.withColumns(
         {

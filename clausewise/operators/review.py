@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clausewise import rules
 from clausewise.functions import values as v
+from clausewise.session import materialise
 
 NUMBERS = [
     "confidence", "level_confidence", "category_confidence", "priority_score", "kg_match_score",
@@ -34,9 +35,9 @@ def review_rows(df: DataFrame) -> DataFrame:
     shaped = []
     for name in (c for c in rules.REVIEW_COLUMNS if c in df.columns):
         if name in ("need_review", "need_manual_review"):
-            shaped.append(v.is_flag(F.col(name)).alias(name))
+            shaped.append(v.flag_of(df, name).alias(name))
         elif name in NUMBERS:
-            shaped.append(v.to_number(F.col(name)).alias(name))
+            shaped.append(v.number_of(df, name).alias(name))
         else:
             shaped.append(F.col(name))
     return df.select(*shaped)
@@ -49,7 +50,8 @@ def review_order(df: DataFrame) -> list[Column]:
 
 
 def review_queue(df: DataFrame) -> DataFrame:
-    rows = review_rows(df)
+    """All rows in review order; written first, since a sort reads its input for the ranges and for the rows."""
+    rows = materialise(review_rows(df))
     return rows.orderBy(*review_order(rows))
 
 
@@ -57,7 +59,8 @@ def review_subset(df: DataFrame) -> DataFrame:
     """Flagged rows only, in queue order; filtered before they are sorted."""
     rows = review_rows(df)
     flag = "need_review" if "need_review" in rows.columns else "need_manual_review"
-    return rows.filter(F.col(flag)).orderBy(*review_order(rows))
+    rows = materialise(rows.filter(F.col(flag)))
+    return rows.orderBy(*review_order(rows))
 
 
 def display_columns(df: DataFrame) -> DataFrame:
