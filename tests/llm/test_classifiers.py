@@ -1,6 +1,7 @@
 """Held-out accuracy, and what odd rows and labels give."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from clausewise.llm import quality_ranking, toxicity
@@ -52,3 +53,25 @@ def test_lexicon_and_features(spark):
     assert named["weak_share"] > 0 and named["person_share"] > 0 and named["obfuscated"] == 0 and named["shouted_share"] > 0
     assert odds["town"] == 0.0 and len(toxicity.features("", odds)) == len(toxicity.FEATURES)
     assert len(quality_ranking.features("")) == len(quality_ranking.FEATURES)
+
+
+def test_quality_is_fitted_on_all_labelled_rows(spark):
+    """Bad rows are known only beyond the 15,000 least hashes of ids."""
+    ids = spark.range(20_000).withColumnRenamed("id", "doc_id").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+    place = F.row_number().over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    labels = ids.select("doc_id", (place <= 15_000).cast("int").alias("quality"))
+    docs = labels.select("doc_id", F.when(F.col("quality") == 1, "some calm words, and more.").otherwise("BUY!!! $$ ##").alias("text"))
+    model = quality_ranking.Model(docs, labels)
+    least, most = model.score(docs, ["doc_id"]).join(labels, "doc_id").agg(
+        F.min(F.when(F.col("quality") == 1, F.col("score"))), F.max(F.when(F.col("quality") == 0, F.col("score")))
+    ).first()
+    assert most < quality_ranking.THRESHOLD < least
+
+
+def test_every_labelled_row_is_in_a_pair(spark):
+    rows = [(i, int(i % 7 > 0), [i]) for i in range(3_000)] + [(3, 1, [-3])]
+    cells = spark.createDataFrame(rows, "doc_id long, label int, cells array<int>")
+    pairs = quality_ranking.preference_pairs(cells, {0: 429, 1: 2_571}).collect()
+    assert {r.good[0] for r in pairs} | {r.bad[0] for r in pairs} == {c[0] for _, _, c in rows}
+    assert len(pairs) <= quality_ranking.PAIRS_EACH * len(rows)
+    assert all(r.good[0] % 7 and r.bad[0] % 7 == 0 for r in pairs)
