@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from clausewise.operators import (
 from clausewise.operators.stages import canonical_stage
 from clausewise.plans import vocabulary as words
 from clausewise.plans.views import table, view
-from clausewise.session import materialise, shared_dir
+from clausewise.session import keep_compiled, materialise, shared_dir
 from clausewise.sources import library, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,8 +40,13 @@ BEST = 3
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        keep_compiled(spark)
+        return fn(spark, sf)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def listed(c: Column, ordered: bool = False) -> Column:

@@ -3,9 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from clausewise.functions import text as t
 from clausewise.functions import values as v
 from clausewise.operators import graph, revision
-from clausewise.session import shared_dir
+from clausewise.plans.queries import QUERIES
+from clausewise.session import COMPILED_BELOW, shared_dir
 from clausewise.sources import tables
 
 
@@ -89,3 +91,23 @@ def test_numbers_and_flags_by_type(spark):
     assert "regexp" not in plan._jdf.queryExecution().optimizedPlan().toString()
     both = df.select(v.number_of(df, "d"), v.to_number(F.col("d")), v.flag_of(df, "b"), v.is_flag(F.col("b")), v.number_of(df, "n"), v.to_number(F.col("n")))
     assert all(r[0] == r[1] and r[2] == r[3] and r[4] == r[5] for r in both.collect())
+
+
+def test_huge_methods_are_left_to_compiled_operators(spark):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    for given, kept in (("65535", COMPILED_BELOW), ("4000", 4000)):
+        spark.conf.set(limit, given)
+        assert QUERIES["clause_expand"](spark, "/root/testdata/sf0.001").limit(3).count() == 3
+        assert int(spark.conf.get(limit)) == kept
+    spark.conf.unset(limit)
+
+
+def test_cleaned_texts_are_joined_runs(spark):
+    texts = ["", None, " nan ", "A b-C", "v1.2.3 of 7.0, x", "设备。Abc 1.5é中", "\U0001F600a\U00020000b", "--- ", "a\nb\u3000c"]
+    want = ["", "", "", "abc", "vofx", "设备abc中", "ab", "", "abc"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id long, text string")
+    one = df.select("id", t.cleaned(F.col("text")).alias("clean"))
+    # only dotted numbers are replaced; runs between words are many, and replacing each of them is slow
+    assert one._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+    assert [r.clean for r in one.orderBy("id").collect()] == want
+    assert [r.x.clean for r in t.with_tokens(df, {"x": F.col("text")}).orderBy("id").collect()] == want
