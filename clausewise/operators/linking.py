@@ -29,19 +29,43 @@ def blank() -> Column:
 # ------------------------------------------------------------------ equipment
 
 
+def _either(parts: Sequence[str]) -> str:
+    return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+
+
+def longest_here(names: Sequence[str]) -> str:
+    """Pattern of the longest of the names at a place, for ``names`` ordered longest first.
+
+    Names are told apart by their first letter and then by their second, so that few of them are tried at a place.
+    """
+    plain = lambda text: "".join(c if c.isascii() and c.isalnum() else f"\\x{{{ord(c):X}}}" for c in text)
+    heads: dict[str, dict[str, list[str]]] = {}
+    for name in names:
+        heads.setdefault(name[0], {}).setdefault(name[1:2], []).append(plain(name[2:]))
+    return _either(
+        [
+            # the name of one letter comes last
+            plain(head) + _either([plain(second) + _either(seconds[second]) for second in sorted(seconds, reverse=True)])
+            for head, seconds in heads.items()
+        ]
+    )
+
+
 def equipment_in_row(df: DataFrame, names: Sequence[str], fields: Sequence[str]) -> Column:
     """Longest name inside the first field that holds any; null when none does.
 
-    For a short list of names, longest first and then by name: every field is
-    tested against the literal list, without any shuffle.
+    For a short list of names, longest first and then by name: every field is read once for the longest name at each
+    of its places, without any shuffle.
     """
-    vocabulary = F.array(*[F.lit(name) for name in names])
+    if "" in names:  # every text holds it
+        fields = fields[:1]
+    pattern = f"(?=({longest_here([name for name in names if name])}))" if any(names) else "(?!)()"
 
     def found(field: str) -> Column:
-        text = v.clean(F.col(f"`{field}`"))
-        return F.get(F.filter(vocabulary, lambda name: text.contains(name)), F.lit(0))
+        every = F.regexp_extract_all(v.clean(F.col(f"`{field}`")), F.lit(pattern), F.lit(1))
+        return F.array_min(F.transform(every, lambda name: F.struct((-F.length(name)).alias("shortness"), name.alias("name"))))["name"]
 
-    return F.coalesce(*[found(field) for field in fields], F.lit(None).cast("string"))
+    return F.coalesce(*[found(field) for field in fields], F.lit("" if "" in names else None).cast("string"))
 
 
 def equipment_by_windows(

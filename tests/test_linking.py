@@ -147,3 +147,17 @@ def test_nested_graph(spark):
     assert kinds["P1"][-3:] == ["related_to_clause", "related_to_standard", "belongs_to_standard"]
     assert kinds["P2"][-1] == "related_to_standard" and "related_to_clause" not in kinds["P2"]
     assert {n["type"] for n in json.loads(rows["P2"]["graph_nodes"])} == {"problem", "category", "severity", "device", "major", "standard"}
+
+
+def test_names_in_a_row_are_found_in_one_reading(spark):
+    names = ["a", "a.c", "a.cd", "(x", "(x)", "设备", "😀b", "ab" * 40, "b|", "q\\E"]
+    texts = ["a", "abc", "za.cde (x", "(x) (x", "a设备", "😀b a", "ab" * 41, "b|a.c", "q\\E\\Q", "", None, "nan", "xx\n设备\na", "b(xa.c"]
+    ordered = sorted(names, key=lambda name: (-len(name), name))
+    df = spark.createDataFrame([(i, text) for i, text in enumerate(texts)], "n int, text string")
+    column = linking.equipment_in_row(df, ordered, ["text"])
+    found = [r["e"] for r in df.select("n", column.alias("e")).orderBy("n").collect()]
+    empty = ("", "nan")
+    assert found == [next((x for x in ordered if x in (t or "") and t not in empty), None) for t in texts]
+    plan = df.select(column)._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan.lower()  # no text is looked through once for every name
+    assert df.select(linking.equipment_in_row(df, ["b", ""], ["text"]).alias("e")).where("e = ''").count() == 9
