@@ -143,9 +143,11 @@ def with_nested_graph(df: DataFrame, role: str = "level") -> DataFrame:
         (device, "device", "has_device", "device_type"),
         (specialty, "major", "has_major", "specialty"),
     ]
+    # ids stand in nodes and in edges: hashed once
+    df = df.withColumns({f"_{kind}_id": F.when(value != "", v.hashed_id(kind, value)) for value, kind, _, _ in plain})
     nodes, edges = [_node(issue, "problem", issue, text)], []
     for value, kind, relation, field in plain:
-        target = v.hashed_id(kind, value)
+        target = F.col(f"_{kind}_id")
         nodes.append(F.when(value != "", _node(target, kind, value)))
         edges.append(F.when(value != "", _edge(issue, target, relation, F.lit(field), blank, blank)))
     nodes.append(F.when(clause != "", _node(clause, "clause", some(title, clause))))
