@@ -1,14 +1,15 @@
 """Linking issues to standard clauses.
 
 The texts of both sides are prepared once, where they are; the sides meet on the equipment key, and only thin scored
-rows (ids, score, reason) are shuffled, at most k of an issue from a task. Nothing is measured while planning: whether the
-clauses are broadcast is the planner's choice, and without that adaptive execution splits the issues of a hot equipment.
+rows (ids, score, reason) are shuffled, at most k of an issue from a task. The prepared clauses are written before the
+join: whether they are broadcast is the planner's choice by their size (adaptive execution alone would not, as their few
+equipment names leave most partitions empty), and without that adaptive execution splits the issues of a hot equipment.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from clausewise.functions import text as t
 from clausewise.functions import values as v
 from clausewise.operators.revision import relation_of, with_revision
 from clausewise.operators.stages import canonical_stage
+from clausewise.session import materialise
 
 NAMES_IN_ROW = 1000
 
@@ -268,7 +270,8 @@ def match_scores(
 ) -> DataFrame:
     """Pairs of issues and clauses of their equipment with their part scores; thin rows without the texts."""
     left, right = by_equipment(issues, points, names)
-    pairs = issue_features(left, id_col, stage_aliases).join(point_features(right), "equipment")
+    # written first, so that the planner knows the size: with few clauses no text of an issue is shuffled or sorted
+    pairs = issue_features(left, id_col, stage_aliases).join(materialise(point_features(right)), "equipment")
     return scored(pairs, match_rules).select(
         id_col, "point_id", "point_pos", "checkpoint_score", "issue_score", "keyword_score",
         "category_score", "opinion_score", "rule_score", "stage_score", "severity_score",
@@ -374,6 +377,8 @@ def enrich_issues(
     links = link(
         issues, points, names, order_col, top_k=top_k, min_score=min_score, match_rules=match_rules, stage_aliases=stage_aliases
     )
+    # the thin matches are read for the best one and for the list: scored once
+    links = replace(links, matches=materialise(links.matches))
     best = with_status(links).join(nested_matches(links, points), order_col, "left")
     # Points under names of their own, to stay apart from the issue's columns.
     named = points.select(*[F.col(c).alias(f"p_{c}") for c in points.columns])

@@ -161,3 +161,37 @@ def test_names_in_a_row_are_found_in_one_reading(spark):
     plan = df.select(column)._jdf.queryExecution().optimizedPlan().toString()
     assert "filter(" not in plan.lower()  # no text is looked through once for every name
     assert df.select(linking.equipment_in_row(df, ["b", ""], ["text"]).alias("e")).where("e = ''").count() == 9
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _linked_fixture(spark):
+    standards = spark.createDataFrame([(i, *s) for i, s in enumerate(fx.STANDARDS)], "pos int, " + fx.STANDARD_SCHEMA)
+    clauses = spark.createDataFrame([(i, *c) for i, c in enumerate(fx.CLAUSES)], "pos int, " + fx.CLAUSE_SCHEMA)
+    names = library.equipment_of_library(standards, clauses)
+    return spark.createDataFrame(fx.ISSUES, fx.ISSUE_SCHEMA), library.points_from_library(standards, clauses), names
+
+
+def test_enriched_issues_are_scored_once(spark):
+    out = linking.enrich_issues(*_linked_fixture(spark), "row_pos")
+    assert "array_intersect" not in _plan(out)  # the matches are read, not worked out for the best one and for the list
+    assert [r["kg_match_score"] > 0 for r in out.collect()] == [True] * len(fx.ISSUES)
+
+
+def test_clauses_are_prepared_before_the_join(spark):
+    matches = linking.link(*_linked_fixture(spark), "row_pos").matches
+    plan = _plan(matches)
+    assert "array_intersect" in plan and "point_all_low" not in plan  # so that their size is known
+    assert matches.where("rank = 1").count() == len(fx.ISSUES)
+
+
+def test_nested_graph_hashes_an_id_once(spark):
+    df = spark.createDataFrame([("P1", "t", "施工"), ("P2", "t", None)], "problem_id string, text string, predicted_category string")
+    out = graph.with_nested_graph(df)
+    assert _plan(out).count("concat(category_, ") == 1
+    rows = {r["problem_id"]: (json.loads(r["graph_nodes"]), json.loads(r["graph_edges"])) for r in out.collect()}
+    nodes, edges = rows["P1"]
+    assert [n["type"] for n in nodes] == ["problem", "category"] and edges[0]["target"] == nodes[1]["id"]
+    assert [n["type"] for n in rows["P2"][0]] == ["problem"] and rows["P2"][1] == []
