@@ -17,6 +17,8 @@ CSV_WRITE = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False
 BREAKS = [("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")]
 #: Rows of a compressed file at most.
 ROWS_PER_FILE = 250_000
+#: Rows of a piece of a table that is dealt out.
+ROWS_PER_TASK = 500_000
 KINDS = {".csv": "csv", ".jsonl": "jsonl", ".parquet": "parquet"}
 
 
@@ -118,9 +120,12 @@ def with_position(df: DataFrame, out: str = "row_pos") -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a table that comes in fewer pieces than there are cores.
+    """Deal out the rows of a table that comes in fewer files than there are cores.
 
-    Large tables come in many pieces and pass through untouched.
+    There are as many pieces as cores, and more if a piece had more than ROWS_PER_TASK rows otherwise, so that what a task
+    groups doesn't grow with the table. Rows are counted from the footers of the files. Tables of many files pass through untouched.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    if len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(max(cores, -(-df.count() // ROWS_PER_TASK)))

@@ -106,3 +106,14 @@ def test_given_splits(spark, tmp_path):
         splits.given_splits({**given, "test": frame([2])}, str(tmp_path / "t"), "id")
     with pytest.raises(ValueError, match="columns"):
         splits.given_splits({**given, "test": frame([9]).withColumn("x", F.lit(1))}, str(tmp_path / "t"), "id")
+
+
+def test_pieces_of_a_large_table_do_not_grow(spark, tmp_path, monkeypatch):
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    one, cores = spark.read.parquet(str(tmp_path / "one")), spark.sparkContext.defaultParallelism
+    assert tables.spread(one).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 30)
+    dealt = tables.spread(one)
+    assert dealt.rdd.getNumPartitions() == max(cores, 34) and dealt.count() == 1000
+    empty = spark.read.schema("id long").parquet(str(tmp_path / "one")).where("id < 0")
+    assert tables.spread(empty).count() == 0
