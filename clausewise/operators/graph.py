@@ -246,7 +246,11 @@ def _by_slot(ids: DataFrame, slots: Sequence[Column]) -> DataFrame:
     A task has the rows of one slot and sorts no more than those, and reads the columns of that slot only.
     ``tie`` is the place in which a row was written, for issues of the same order.
     """
-    ids = materialise(ids.withColumn("tie", F.monotonically_increasing_id()))
+    return _slots(materialise(ids.withColumn("tie", F.monotonically_increasing_id())), slots)
+
+
+def _slots(ids: DataFrame, slots: Sequence[Column]) -> DataFrame:
+    """The rows of ``_by_slot`` from issues that are written and have a ``tie`` already."""
     order = [name for name in ids.columns if name.startswith("order_")]
     parts = [ids.select(*order, "tie", F.lit(i).alias("slot"), x.alias("x")).filter("x IS NOT NULL") for i, x in enumerate(slots)]
     return reduce(DataFrame.unionByName, [part.select(*order, "slot", "tie", "x.*") for part in parts])
@@ -295,22 +299,34 @@ def node_table(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     return _first_per(_by_slot(ids, slots), ["node_id"], NODE_COLUMNS)
 
 
+def _repeated_problems(ids: DataFrame) -> DataFrame | None:
+    """Hashes of the names that more than one issue has; None if such issues are most of them.
+
+    Of each issue 8 bytes are shuffled, and of a frequent name one row a task.
+    """
+    counted = materialise(ids.groupBy(F.xxhash64("problem_id").alias("hash")).agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    repeated = counted.agg(F.sum("n")).first()[0] or 0
+    return counted.select("hash") if 2 * repeated <= ids.count() else None
+
+
 def edge_table(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """Distinct edges over all issues; edges with a blank end are dropped.
 
-    Edges are told apart by their ends and relation, not by edge_id, which is a short hash of them.
+    Edges are told apart by their ends and relation, not by edge_id, which is a short hash of them. An edge that starts
+    at an issue comes once if no other issue has that name, so only those of repeated names are looked through for repeats.
     """
-    ids = _table_ids(df, order_by)
+    order = [f"order_{i}" for i in range(len(order_by))]
+    needed = [f"{end}_id" for end in ("problem", "clause", "standard", "category", "equipment", "need", "priority")]
+    ids = _table_ids(df, order_by).select(*order, *needed, "confidence", "reason")
+    ids = materialise(ids.withColumn("tie", F.monotonically_increasing_id()), "zstd")
     c = F.col
     none = F.lit(None).cast("string")
     optional = lambda name: F.nullif(c(name), F.lit(""))
 
     def edge(source: str, target: str, relation: str, confidence: Column = none, reason: Column = none) -> Column:
-        key = F.concat(c(source), F.lit(f"|{relation}|"), c(target))
         return F.when(
             (c(source) != "") & (c(target) != ""),
             F.struct(
-                v.hashed_id("Edge", key).alias("edge_id"),
                 c(source).alias("source_id"),
                 c(target).alias("target_id"),
                 F.lit(relation).alias("relation_type"),
@@ -319,12 +335,26 @@ def edge_table(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
             ),
         )
 
-    slots = [
+    of_problems = [
         edge("problem_id", "clause_id", "PROBLEM_MATCHES_CLAUSE", optional("confidence"), optional("reason")),
-        edge("clause_id", "standard_id", "CLAUSE_BELONGS_TO_STANDARD"),
         edge("problem_id", "category_id", "PROBLEM_HAS_CATEGORY"),
         edge("problem_id", "equipment_id", "PROBLEM_INVOLVES_EQUIPMENT"),
         edge("problem_id", "need_id", "PROBLEM_TRIGGERS_REVISION_NEED"),
+    ]
+    others = [
+        edge("clause_id", "standard_id", "CLAUSE_BELONGS_TO_STANDARD"),
         edge("standard_id", "priority_id", "STANDARD_HAS_REVISION_PRIORITY"),
     ]
-    return _first_per(_by_slot(ids, slots), ["source_id", "target_id", "relation_type"], EDGE_COLUMNS)
+    columns = [name for name in EDGE_COLUMNS if name != "edge_id"]
+    first = lambda slots: _first_per(slots, columns[:3], columns)
+    found = first(_slots(ids, others))
+    repeated = _repeated_problems(ids)
+    if repeated is None:
+        found = found.unionByName(first(_slots(ids, of_problems)))
+    else:
+        same = F.xxhash64("problem_id") == c("hash")
+        once, again = ids.join(repeated, same, "left_anti"), ids.join(repeated, same, "left_semi")
+        found = found.unionByName(once.select(F.inline(_list(*of_problems))).select(*columns))
+        found = found.unionByName(first(_slots(again, of_problems)))
+    key = F.concat_ws("|", "source_id", "relation_type", "target_id")
+    return found.withColumn("edge_id", v.hashed_id("Edge", key)).select(*EDGE_COLUMNS)

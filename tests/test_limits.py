@@ -1,5 +1,7 @@
 """Cases beyond what small tables have: equal short ids, large scores, line breaks in one large file."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +113,29 @@ def test_cleaned_texts_are_joined_runs(spark):
     assert one._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
     assert [r.clean for r in one.orderBy("id").collect()] == want
     assert [r.x.clean for r in t.with_tokens(df, {"x": F.col("text")}).orderBy("id").collect()] == want
+
+
+@pytest.mark.parametrize("repeats", [3, 60])
+def test_edges_of_issues_that_come_once_are_not_shuffled(spark, monkeypatch, repeats):
+    """Only issues of repeated names are looked through for repeated edges; the first in order gives the attributes."""
+    rows = [(i, f"I{i}" if i >= repeats else "", "same text", f"kind {i % 3}", f"machine {i % 2}", f"C{i % 4}", "S1", str(i)) for i in range(100)]
+    rows += [(200, "I99", "again", "kind 0", "machine 1", "C9", "S1", "0.5"), (100, "I99", "again", "kind 0", "machine 0", "C9", "", "0.25")]
+    df = spark.createDataFrame(
+        rows, "row_pos long, issue_id string, text string, issue_category string, device_type string, kg_clause_id string, kg_standard_id string, kg_match_score string"
+    )
+    seen, first_per = [], graph._first_per
+    monkeypatch.setattr(graph, "_first_per", lambda slots, *a: seen.append(slots.where("source_id LIKE 'Problem:%'").count()) or first_per(slots, *a))
+    got = graph.edge_table(df, ["row_pos"]).collect()
+    assert max(seen) == (3 * 6 if repeats == 3 else 3 * len(rows))
+    want = {}
+    for _, issue, text, kind, machine, clause, standard, score in sorted(rows):
+        name = f"Problem:{issue}" if issue else "Problem:problem_" + hashlib.sha1(text.encode()).hexdigest()[:32]
+        short = lambda prefix, x: f"{prefix}_{hashlib.sha1(x.encode()).hexdigest()[:12]}"
+        want.setdefault((name, f"Clause:{clause}", "PROBLEM_MATCHES_CLAUSE"), score)
+        want.setdefault((name, short("ProblemCategory", kind), "PROBLEM_HAS_CATEGORY"), None)
+        want.setdefault((name, short("Equipment", machine), "PROBLEM_INVOLVES_EQUIPMENT"), None)
+        if standard:
+            want.setdefault((f"Clause:{clause}", f"Standard:{standard}", "CLAUSE_BELONGS_TO_STANDARD"), None)
+    assert len(got) == len(want) and {(r.source_id, r.target_id, r.relation_type): r.confidence for r in got} == want
+    key = lambda r: f"{r.source_id}|{r.relation_type}|{r.target_id}"
+    assert all(r.edge_id == "Edge_" + hashlib.sha1(key(r).encode()).hexdigest()[:12] for r in got)
