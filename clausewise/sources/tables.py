@@ -119,13 +119,14 @@ def with_position(df: DataFrame, out: str = "row_pos") -> DataFrame:
     return placed.withColumn(out, F.col("_start") + inside).drop("_id", "_part", "_start")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Deal out the rows of a table that comes in fewer files than there are cores.
 
     There are as many pieces as cores, and more if a piece had more than ROWS_PER_TASK rows otherwise, so that what a task
     groups doesn't grow with the table. Rows are counted from the footers of the files. Tables of many files pass through untouched.
+    Rows that are joined by a ``key`` next are dealt out by it, so that they are shuffled once and not once more for the join.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if len(df.inputFiles()) >= cores:
         return df
-    return df.repartition(max(cores, -(-df.count() // ROWS_PER_TASK)))
+    return df.repartition(max(cores, -(-df.count() // ROWS_PER_TASK)), *([key] if key else []))

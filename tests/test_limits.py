@@ -9,6 +9,7 @@ from clausewise.functions import text as t
 from clausewise.functions import values as v
 from clausewise.operators import graph, revision
 from clausewise.plans.queries import QUERIES
+from clausewise.plans.views import view
 from clausewise.session import COMPILED_BELOW, shared_dir
 from clausewise.sources import tables
 
@@ -139,3 +140,28 @@ def test_edges_of_issues_that_come_once_are_not_shuffled(spark, monkeypatch, rep
     assert len(got) == len(want) and {(r.source_id, r.target_id, r.relation_type): r.confidence for r in got} == want
     key = lambda r: f"{r.source_id}|{r.relation_type}|{r.target_id}"
     assert all(r.edge_id == "Edge_" + hashlib.sha1(key(r).encode()).hexdigest()[:12] for r in got)
+
+
+def test_order_lines_are_shuffled_once_for_their_orders(spark, tmp_path):
+    """Dealing out the lines of few files does for the join, too."""
+    given = {
+        "lineitem": "1L l_orderkey, 1L l_partkey, 1L l_suppkey, 1 l_linenumber, 5D l_quantity, 9D l_extendedprice, 0.1D l_discount,"
+        " 0D l_tax, 'R' l_returnflag, 'O' l_linestatus",
+        "orders": "1L o_orderkey, 'F' o_orderstatus, '2-HIGH' o_orderpriority",
+        "part": "1L p_partkey, 'bolt' p_name, 'B' p_brand, 'T' p_type, 4 p_size",
+        "supplier": "1L s_suppkey, 's' s_name, 2 s_nationkey",
+        "nation": "2 n_nationkey, 'N' n_name, 3 n_regionkey",
+        "region": "3 r_regionkey, 'R' r_name",
+    }
+    for name, row in given.items():
+        spark.sql(f"SELECT {row}").write.parquet(str(tmp_path / f"{name}.parquet"))
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        issues = view(spark, str(tmp_path), "linked_issues")
+        plan = issues._jdf.queryExecution().executedPlan().toString()
+        assert "RoundRobin" not in plan and plan.count("hashpartitioning(l_orderkey") == 1
+        assert [(r.problem_id, r.region) for r in issues.collect()] == [("I1-1-1-1-900", "R")]
+    finally:
+        spark.conf.set(limit, before)
