@@ -70,8 +70,7 @@ def flags_as_text(df: DataFrame) -> DataFrame:
 
 def _round_trip(df: DataFrame, suffix: str) -> DataFrame:
     spark = df.sparkSession
-    packed = "lz4" if suffix == ".jsonl" else None
-    path = tables.write_table(df, f"{shared_dir(spark)}/table{suffix}", escaped_breaks=True, compression=packed)
+    path = tables.write_table(df, f"{shared_dir(spark)}/table{suffix}", escaped_breaks=True, compression="lz4")
     return tables.read_table(spark, path, df.schema, escaped_breaks=True)
 
 

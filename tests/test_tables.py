@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from clausewise.operators import learning, splits
+from clausewise.plans import queries
 from clausewise.sources import tables
 
 
@@ -117,3 +118,16 @@ def test_pieces_of_a_large_table_do_not_grow(spark, tmp_path, monkeypatch):
     assert dealt.rdd.getNumPartitions() == max(cores, 34) and dealt.count() == 1000
     empty = spark.read.schema("id long").parquet(str(tmp_path / "one")).where("id < 0")
     assert tables.spread(empty).count() == 0
+
+
+def test_written_csv_is_packed(spark, tmp_path, monkeypatch):
+    """The query's CSV is packed, in files that one task each can read, and comes back as it was."""
+    monkeypatch.setattr(tables, "ROWS_PER_FILE", 300)
+    rows = [(i, f'say "{i % 7}",\nnext \\n', None if i % 5 else "x") for i in range(1000)]
+    df = spark.createDataFrame(rows, "n int, text string, other string").coalesce(1)
+    back = queries._round_trip(df, ".csv")
+    files = back.inputFiles()
+    assert len(files) == 4 and all(f.endswith(".csv.lz4") for f in files)
+    assert sorted(map(tuple, back.collect())) == rows
+    plain = tables.write_table(df, str(tmp_path / "t.csv"))
+    assert all(f.endswith(".csv") for f in tables.read_table(spark, plain, df.schema).inputFiles())
