@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import wraps
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from clausewise.operators import (
 )
 from clausewise.operators.stages import canonical_stage
 from clausewise.plans import vocabulary as words
-from clausewise.plans.views import table, view
+from clausewise.plans.views import LINES_BY_ORDER, table, view
 from clausewise.session import keep_compiled, materialise, shared_dir
 from clausewise.sources import library, tables
 
@@ -88,7 +89,7 @@ def scan_jsonl(spark, sf):
 @query
 def sink_csv(spark, sf):
     """All linked issues, written and read back."""
-    return _round_trip(view(spark, sf, "linked_issues"), ".csv")
+    return _round_trip(view(spark, sf, "linked_issues", LINES_BY_ORDER), ".csv")
 
 
 @query
@@ -774,8 +775,8 @@ def feedback_retrain(spark, sf):
 # --------------------------------------------------------------- graph export
 
 
-def _graph_input(spark, sf):
-    return view(spark, sf, "linked_issues").withColumns(
+def _graph_input(spark, sf, keys=MappingProxyType({})):
+    return view(spark, sf, "linked_issues", keys).withColumns(
         {
             "revision_reason": F.concat(F.lit("because \"of\" "), "predicted_severity"),
             "revision_priority_label": F.when(F.col("repeat_count") < 3, "高").otherwise("低"),
@@ -790,7 +791,7 @@ def graph_records(spark, sf):
 
 @query
 def graph_nested_json(spark, sf):
-    return graph.with_nested_graph(_graph_input(spark, sf)).select("problem_id", "graph_nodes", "graph_edges")
+    return graph.with_nested_graph(_graph_input(spark, sf, LINES_BY_ORDER)).select("problem_id", "graph_nodes", "graph_edges")
 
 
 @query

@@ -8,7 +8,9 @@ before it.
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from functools import cache
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,8 +22,8 @@ TABLES = [
 ]
 
 FACTS = {"lineitem", "documents"}
-#: What the first join of a view goes by, for facts that the view reads for that join only.
-JOINED_BY = {"linked_issues": {"lineitem": "l_orderkey"}}
+#: What the first join of linked_issues goes by.
+LINES_BY_ORDER = {"lineitem": "l_orderkey"}
 
 VIEWS = {
     # Order lines as issues that are linked to standards and clauses already.
@@ -225,9 +227,9 @@ def sources_of(name: str) -> tuple[str, ...]:
     return tuple(t for t in TABLES if re.search(rf"\b(FROM|JOIN) {t}\b", VIEWS[name]))
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A view over the tables of a folder."""
-    frames = {t: table(spark, sf_dir, t, JOINED_BY.get(name, {}).get(t)) for t in sources_of(name)}
+def view(spark: SparkSession, sf_dir: str, name: str, keys: Mapping[str, str] = MappingProxyType({})) -> DataFrame:
+    """A view over the tables of a folder; ``keys`` names what facts are dealt out by, if they are."""
+    frames = {t: table(spark, sf_dir, t, keys.get(t)) for t in sources_of(name)}
     text = VIEWS[name].replace("{", "{{").replace("}", "}}")
     for t in frames:
         text = re.sub(rf"\b(FROM|JOIN) {t}\b", rf"\1 {{{t}}}", text)

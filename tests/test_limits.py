@@ -9,7 +9,7 @@ from clausewise.functions import text as t
 from clausewise.functions import values as v
 from clausewise.operators import graph, revision
 from clausewise.plans.queries import QUERIES
-from clausewise.plans.views import view
+from clausewise.plans.views import LINES_BY_ORDER, view
 from clausewise.session import COMPILED_BELOW, shared_dir
 from clausewise.sources import tables
 
@@ -159,7 +159,7 @@ def test_order_lines_are_shuffled_once_for_their_orders(spark, tmp_path):
     before = spark.conf.get(limit)
     spark.conf.set(limit, "-1")
     try:
-        issues = view(spark, str(tmp_path), "linked_issues")
+        issues = view(spark, str(tmp_path), "linked_issues", LINES_BY_ORDER)
         plan = issues._jdf.queryExecution().executedPlan().toString()
         assert "RoundRobin" not in plan and plan.count("hashpartitioning(l_orderkey") == 1
         assert [(r.problem_id, r.region) for r in issues.collect()] == [("I1-1-1-1-900", "R")]
